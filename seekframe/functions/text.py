@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from seekframe.functions.predicates import any_of
 
@@ -19,7 +20,7 @@ def normalise(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(col), f"[{BLANK}]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalise_nfkc(text: pd.Series) -> pd.Series:
     """Compatibility composition and lower case; Spark has no built-in for the former."""
     return text.map(lambda s: unicodedata.normalize("NFKC", s).lower(), na_action="ignore")

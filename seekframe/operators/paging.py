@@ -71,7 +71,8 @@ def page(df: DataFrame, keys: list[str], limit: int | None = None, offset: int =
 
 def rank_page(rows: DataFrame, keys: list[str], column: str = "rank", tie: str = "_id") -> DataFrame:
     """Number the rows of a page from 1. For pages of bounded size: they fit in one task."""
-    return rows.withColumn(column, F.row_number().over(Window.orderBy(*order(keys, tie))))
+    return rows.withColumn(column, F.row_number().over(
+        Window.orderBy(*order(keys, tie))).cast("long"))
 
 
 def slice_rows(df: DataFrame, keys: list[str], start: int = 0, stop: int | None = None,

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.operators.facets import drilldown
+from seekframe.operators.rows import assign_row_id
 from seekframe.operators.skew import join_lookup
+from seekframe.schema import fill_defaults
 
 
 def lookup(df: DataFrame, target: DataFrame, column: str, key: str,
@@ -36,12 +38,23 @@ def drilldown_ref(df: DataFrame, column: str, target: DataFrame, key: str, value
     return facets.join(names, "_key", "left")
 
 
-def missing_keys(df: DataFrame, column: str, target: DataFrame, key: str = "_key") -> DataFrame:
-    """Distinct non-null values of ``column`` that ``target`` does not have yet."""
-    wanted = df.select(F.col(column).alias(key)).filter(F.col(key).isNotNull()).distinct()
+def missing_keys(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
+                 order_col: str | None = None) -> DataFrame:
+    """Distinct non-null values of ``column`` that ``target`` does not have yet; ``_arrival`` is
+    where each shows up first, by ``order_col`` or by the position in the scan."""
+    place = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    wanted = df.select(F.col(column).alias(key), place.alias("_arrival")) \
+        .filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("_arrival").alias("_arrival"))
     return wanted.join(target.select(key), key, "left_anti")
 
 
-def create_missing(df: DataFrame, column: str, target: DataFrame, key: str = "_key") -> DataFrame:
-    """``target`` plus one row per missing reference, its other columns left null."""
-    return target.unionByName(missing_keys(df, column, target, key), allowMissingColumns=True)
+def create_missing(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
+                   id_col: str = "_id", order_col: str | None = None) -> DataFrame:
+    """``target`` plus one row per missing reference, with the next ids in order of appearance and
+    type defaults in all other columns."""
+    missing = missing_keys(df, column, target, key, order_col)
+    next_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
+    rows = assign_row_id(missing, [F.col("_arrival")], id_col, next_id).drop("_arrival")
+    absent = [f for f in target.schema.fields if f.name not in (key, id_col)]
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+    return target.unionByName(fill_defaults(rows, [f.name for f in absent]))

@@ -117,7 +117,8 @@ def last_events(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
     ``last`` rows per task.
     """
     newest = Window.partitionBy("sequence").orderBy(F.desc("_id"))
-    return events.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= last)
+    return events.withColumn("_back", F.row_number().over(newest)) \
+        .filter(F.col("_back") <= last).withColumn("_back", F.col("_back").cast("long"))
 
 
 # --- serving ------------------------------------------------------------------------------------
@@ -292,7 +293,8 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame,
     if top is None:
         return scored
     best = Window.partitionBy("query", "type").orderBy(F.desc("_score"), "_key")
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    return scored.withColumn("rank", F.row_number().over(best)) \
+        .filter(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
 
 
 def suggest(items: DataFrame, pairs: DataFrame, query: str,

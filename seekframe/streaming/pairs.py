@@ -4,7 +4,7 @@ Each micro-batch runs the batch learner over its events plus those still waiting
 waiting events are a table in the shared folder, one version per batch: state grows with the pair
 window, a hot sequence is chunked as in the batch job, and repeating a batch gives the same files.
 
-Arrival ids order the events of a sequence. A pair is final once the watermark (latest time seen,
+Arrival ids order the events of a sequence, and agree with their times. A pair is final once the watermark (latest time seen,
 less ``delay_seconds``) has passed its submit. Events older than the watermark of the batch before
 are too late to be paired; they go whole to the ``late`` table.
 """
@@ -55,7 +55,7 @@ class PairLearner:
 
     def process(self, new: DataFrame, batch: int) -> None:
         """One micro-batch; ``batch`` numbers start at 0 and have no gaps."""
-        new = new.select(*[F.col(f.name).cast(f.dataType) for f in EVENT.fields])
+        new = new.select(*[F.col(f.name).cast(f.dataType) for f in EVENT.fields]).persist()
         mark = self._before("mark", batch, MARK)
         passed = mark.select("watermark").scalar() if batch else F.lit(None).cast("timestamp_ntz")
         is_late = F.coalesce(F.col("time") < passed, F.lit(False))
@@ -68,7 +68,7 @@ class PairLearner:
             .select("watermark").scalar()
 
         open_events = self._before("waiting", batch, EVENT).unionByName(new.filter(~is_late))
-        followed = with_next_submit(open_events, self.chunk_rows)
+        followed = with_next_submit(open_events, self.chunk_rows).persist()
         answered = F.col("_next").isNotNull() & (F.col("_next.time") <= watermark)
         gap = F.col("_next.time") - F.col("time")
         in_time = gap.between(F.lit(dt.timedelta(0)), F.lit(self.window))
@@ -80,9 +80,12 @@ class PairLearner:
 
         # Unanswered events wait while a submit could still reach them. A submit after the
         # watermark also waits: it is the answer to events that wait.
-        still = (~F.coalesce(answered, F.lit(False)) & (F.col("time") + F.lit(self.window) >= watermark)) \
+        reachable = F.col("time") + F.lit(self.window) >= watermark
+        still = (~F.coalesce(answered, F.lit(False)) & reachable) \
             | (submitted & (F.col("time") > watermark))
         self._write(followed.filter(still).select(*EVENT.names), "waiting", batch)
+        followed.unpersist()
+        new.unpersist()
 
     def start(self, events: DataFrame, checkpoint: str) -> StreamingQuery:
         return (events.writeStream.foreachBatch(self.process)
