@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seekframe.operators.facets import drilldown
 from seekframe.operators.rows import assign_row_id
@@ -27,7 +28,9 @@ def lookup_vector(df: DataFrame, target: DataFrame, id_col: str, column: str, ke
     vectors = found.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.struct("_at", "_value"))).alias("_entries"))
     vectors = vectors.select(id_col, F.transform("_entries", lambda e: e["_value"]).alias(into))
-    return df.join(vectors, id_col, "left")
+    element = target.schema[value].dataType
+    none = F.when(F.col(column).isNotNull(), F.array().cast(T.ArrayType(element)))
+    return df.join(vectors, id_col, "left").withColumn(into, F.coalesce(into, none))
 
 
 def drilldown_ref(df: DataFrame, column: str, target: DataFrame, key: str, value: str,
