@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.functions.tokens import Tokenizer, postings, tokens
@@ -39,11 +39,35 @@ def term_stats(index: DataFrame, id_col: str) -> DataFrame:
     return per_doc.groupBy("token").agg(F.count("*").alias("df"), F.sum("_n").alias("tf"))
 
 
-def write_index(index: DataFrame, id_col: str, path: str) -> None:
-    """Store postings sorted by (token, id) in ranges of equal size: a lookup by token reads the
-    row groups that hold it, and a frequent token covers several files instead of one bucket."""
-    keys = ["token", id_col]
-    index.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+BUCKETS = 256
+
+
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def write_index(index: DataFrame, id_col: str, path: str, buckets: int = BUCKETS) -> None:
+    """Store postings in one folder per token bucket, sorted by (token, id).
+
+    A lookup reads the folder of its bucket and there the row groups that hold the token. The
+    rebalance splits a bucket that is too big for one task, so a frequent token covers several
+    files; it needs no sampling pass, which would cut all texts twice.
+    """
+    placed = index.withColumn("_bucket", _bucket(F.col("token"), buckets))
+    placed.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", "token", id_col) \
+        .write.partitionBy("_bucket").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, terms: list[str] | None = None,
+               buckets: int = BUCKETS) -> DataFrame:
+    """Stored postings, or only those of ``terms``: other buckets are not opened."""
+    index = spark.read.parquet(path)
+    if terms is not None:
+        wanted = spark.range(1).select(
+            F.transform(F.array(*[F.lit(t) for t in terms]),
+                        lambda t: _bucket(t, buckets))).head()[0] if terms else []
+        index = index.filter(F.col("_bucket").isin(wanted) & F.col("token").isin(terms))
+    return index.drop("_bucket")
 
 
 def match_terms(index: DataFrame, id_col: str, terms: list[str],

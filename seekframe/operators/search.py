@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import matches
-from seekframe.functions.tokens import Tokenizer, tokens, word_ngrams, words
+from seekframe.functions.tokens import Tokenizer, add_once, with_tokens, word_ngrams, words
 from seekframe.operators.skew import BROADCAST_ROWS, join_lookup
 
 
@@ -19,14 +19,13 @@ def match_escalation(df: DataFrame, column: str, term: str, threshold: int,
     """
     term = term.lower()
     # A token is cut from the normalised text, so a substring test admits every tier.
-    hits = df.filter(matches(F.col(column), term)).withColumn(
-        "_tokens", tokens(F.col(column), tokenizer))
-    hits = hits.withColumn(
-        "_tier", F.when(F.array_contains("_tokens", term), 1)
-        .when(F.exists("_tokens", lambda t: t.startswith(F.lit(term))), 2).otherwise(3))
+    hits = with_tokens(df.filter(matches(F.col(column), term)), column, tokenizer)
+    tier = F.when(F.array_contains("_tokens", term), 1).when(
+        F.exists("_tokens", lambda t: t.startswith(F.lit(term))), 2).otherwise(3)
+    hits = add_once(hits, "_tier", tier).drop("_tokens")
     size = lambda tier: F.count_if(F.col("_tier") <= tier)
     chosen = hits.agg(F.when(size(1) > threshold, 1).when(size(2) > threshold, 2).otherwise(3))
-    return hits.filter(F.col("_tier") <= chosen.scalar()).drop("_tokens")
+    return hits.filter(F.col("_tier") <= chosen.scalar())
 
 
 def shortest_span(token_list: Column, terms: list[str]) -> Column:
@@ -62,20 +61,20 @@ def near(df: DataFrame, column: str, text: str, distance: int = 10,
     rows = df
     for term in dict.fromkeys(terms):  # cheap test before the text is cut into tokens
         rows = rows.filter(matches(F.col(column), term))
-    span = shortest_span(tokens(F.col(column), tokenizer), terms)
-    return rows.withColumn("_span", span).filter(F.col("_span") <= distance)
+    rows = with_tokens(rows, column, tokenizer)
+    spans = add_once(rows, "_span", shortest_span(F.col("_tokens"), terms)).drop("_tokens")
+    return spans.filter(F.col("_span") <= distance)
 
 
 def similar(df: DataFrame, column: str, text: str, threshold: float = 0.1) -> DataFrame:
     """Rows whose distinct words resemble those of ``text``: ``_similarity`` is the Jaccard
     coefficient. The query words are a literal array, so this too needs no shuffle."""
-    rows = df.withColumn("_mine", F.array_distinct(words(F.col(column)))) \
-        .withColumn("_theirs", F.array_distinct(words(F.lit(text))))
-    rows = rows.withColumn("_common", F.size(F.array_intersect("_mine", "_theirs")))
-    union = F.size("_mine") + F.size("_theirs") - F.col("_common")
-    ratio = F.round(F.try_divide(F.col("_common"), union), 6)
-    return rows.withColumn("_similarity", ratio).filter(F.col("_similarity") >= threshold) \
-        .drop("_mine", "_theirs", "_common")
+    mine, theirs = F.col("_mine"), F.array_distinct(words(F.lit(text)))
+    rows = add_once(df, "_mine", F.array_distinct(words(F.col(column))))
+    rows = add_once(rows, "_common", F.size(F.array_intersect(mine, theirs)))
+    union = F.size(mine) + F.size(theirs) - F.col("_common")
+    return rows.withColumn("_similarity", F.round(F.try_divide(F.col("_common"), union), 6)) \
+        .drop("_mine", "_common").filter(F.col("_similarity") >= threshold)
 
 
 def term_extract(df: DataFrame, id_col: str, column: str, vocabulary: DataFrame,
@@ -86,7 +85,7 @@ def term_extract(df: DataFrame, id_col: str, column: str, vocabulary: DataFrame,
     Word runs meet the vocabulary before anything is counted, so only real terms are shuffled. A
     big vocabulary is joined on (term, salt), which also spreads the counting of a frequent term.
     """
-    listed = df.select(id_col, words(F.col(column)).alias("_words"))
+    listed = add_once(df.select(id_col, column), "_words", words(F.col(column)))
     grams = listed.select(id_col, F.explode(word_ngrams(F.col("_words"), longest)).alias("term"))
     terms = vocabulary.select(F.col(term_col).alias("term")).distinct()
     found = join_lookup(grams, terms, "term", broadcast_rows=broadcast_rows)

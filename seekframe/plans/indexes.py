@@ -43,7 +43,7 @@ def _register(key, tokenizer):
     spec = TOKENIZERS[tokenizer]
     tokens = sql.token_list("text", spec.n, spec.split, spec.ignore_blank)
     query(_summary_sql(sql.postings("documents", "doc_id", tokens)), key)(
-        lambda t: _summary(postings(t.documents, "doc_id", "text", tokenizer)))
+        lambda t: _summary(postings(t.texts, "doc_id", "text", tokenizer)))
 
 
 for _key, _tokenizer in _QUERIES.items():
@@ -57,7 +57,7 @@ def _delimited(text, mark):
 @query(_summary_sql(sql.postings("documents", "doc_id",
                                  _delimited(sql.normalised("text"), "' '"))))
 def tokens_delimit(t):
-    return _summary(postings(t.documents, "doc_id", "text", "TokenDelimit"))
+    return _summary(postings(t.texts, "doc_id", "text", "TokenDelimit"))
 
 
 @query(_summary_sql(sql.postings(
@@ -78,8 +78,8 @@ _TOKENS = sql.token_list("text")
            FROM ({sql.postings('documents', 'doc_id', _TOKENS)}) GROUP BY token""")
 def index_build(t):
     path = scratch_path(t.spark, "index")
-    ix.write_index(ix.build_postings(t.documents, "doc_id", ["text"]), "doc_id", path)
-    return ix.term_stats(t.spark.read.parquet(path), "doc_id")
+    ix.write_index(ix.build_postings(t.texts, "doc_id", ["text"]), "doc_id", path)
+    return ix.term_stats(ix.read_index(t.spark, path), "doc_id")
 
 
 @query(f"""SELECT turn_id, token, CAST(position AS INTEGER) AS position FROM (
@@ -127,7 +127,7 @@ def index_reverse_ref_rows(t):
            FROM ({sql.postings('documents', 'doc_id', _TOKENS)}) JOIN documents USING (doc_id)
            WHERE token IN ('und', 'für', 'the') GROUP BY doc_id, lang""")
 def index_match(t):
-    index = ix.build_postings(t.documents, "doc_id", ["text"])
+    index = ix.build_postings(t.texts, "doc_id", ["text"])
     hits = ix.match_terms(index, "doc_id", ["und", "für", "the"])
     return t.documents.select("doc_id", "lang").join(hits, "doc_id")
 
@@ -138,5 +138,5 @@ def index_match(t):
            WHERE a.token = 'of' AND b.token = 'the' AND b.position = a.position + 1
            GROUP BY doc_id""")
 def index_phrase(t):
-    index = ix.build_postings(t.documents, "doc_id", ["text"])
+    index = ix.build_postings(t.texts, "doc_id", ["text"])
     return ix.match_phrase(index, "doc_id", ix.phrase_tokens(t.documents, "Of the"))

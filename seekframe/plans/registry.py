@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.operators import suggest
-from seekframe.session import materialise
+from seekframe.session import materialise, spread
 
 PAIR_DAY = 86_400  # events of one user are hours apart, so pairs are learned over a day
 
@@ -23,6 +23,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        """The documents, for queries that cut every text into tokens."""
+        return spread(self.__getattr__("documents"))
+
     @cached_property
     def log(self) -> DataFrame:
         """The event table as a query log: purchases are submits, items come from ``props``."""

@@ -84,12 +84,12 @@ def _escalated(term, threshold):
 
 @query(_escalated("ent", 0))
 def match_escalation(t):
-    return search.match_escalation(t.documents, "text", "Ent", 0).select("doc_id", "_tier")
+    return search.match_escalation(t.texts, "text", "Ent", 0).select("doc_id", "_tier")
 
 
 @query(_escalated("tio", 1000000))
 def match_escalation_loose(t):
-    return search.match_escalation(t.documents, "text", "tio", 1000000).select("doc_id", "_tier")
+    return search.match_escalation(t.texts, "text", "tio", 1000000).select("doc_id", "_tier")
 
 
 @query("SELECT doc_id, source FROM documents WHERE starts_with(source, 'src1')")
@@ -121,7 +121,7 @@ def _near_sql(terms, distance):
 
 @query(_near_sql(["that", "with", "from"], 10))
 def match_near(t):
-    return search.near(t.documents, "text", "that WITH from").select("doc_id", "_span")
+    return search.near(t.texts, "text", "that WITH from").select("doc_id", "_span")
 
 
 _LIKE = "The house of the people was in the city and they were there for that time with others"
@@ -135,7 +135,7 @@ _LIKE = "The house of the people was in the city and they were there for that ti
            SELECT doc_id, round(c / (a + b - c), 6) AS _similarity FROM sizes
            WHERE round(c / (a + b - c), 6) >= 0.05""")
 def match_similar(t):
-    return search.similar(t.documents, "text", _LIKE, 0.05).select("doc_id", "_similarity")
+    return search.similar(t.texts, "text", _LIKE, 0.05).select("doc_id", "_similarity")
 
 
 _VOCABULARY = f"""SELECT DISTINCT w AS term FROM (SELECT unnest({sql.words('text')}) AS w FROM benchmark)
@@ -156,7 +156,7 @@ def term_extract(t):
     single = t.benchmark.select(F.explode(words(C("text"))).alias("_key")) \
         .filter(F.length("_key") >= 4)
     vocabulary = single.union(t.part.select(F.lower("p_name"))).distinct()
-    return search.term_extract(t.documents, "doc_id", "text", vocabulary)
+    return search.term_extract(t.texts, "doc_id", "text", vocabulary)
 
 
 @query(f"SELECT conv_id, turn, {sql.normalised('text')} AS text FROM conversations")

@@ -53,6 +53,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for heavy work on a small table that sits in a few row groups. A scan
+    with as many splits as there are cores is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: values are fixed and a lost executor costs a re-read."""
     path = scratch_path(df.sparkSession, label)

@@ -138,10 +138,14 @@ def test_index(spark):
     assert ix.match_phrase(index, "_id", ["ring", "promo"]).count() == 0
     path = scratch_path(spark, "index")
     ix.write_index(index, "_id", path)
-    stored = spark.read.parquet(path)
+    stored = ix.read_index(spark, path)
     stats = {r["token"]: (r["df"], r["tf"]) for r in ix.term_stats(stored, "_id").collect()}
     assert stats == {"red": (1, 2), "ring": (2, 3), "promo": (1, 1), "blue": (1, 1)}
-    assert "In(token, [blue,red])" in plan_of(ix.match_terms(stored, "_id", ["red", "blue"]))
+    found = ix.read_index(spark, path, ["red", "blue"])
+    assert sorted(r["token"] for r in found.collect()) == ["blue", "red", "red"]
+    plan = plan_of(found)
+    assert "In(token, [blue,red])" in plan and "PartitionFilters: [_bucket" in plan
+    assert ix.read_index(spark, path, []).count() == 0
 
 
 def test_escalation(spark):
