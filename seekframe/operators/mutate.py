@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.operators.rows import assign_row_id
+from seekframe.operators.skew import fits_broadcast, join_lookup
 from seekframe.schema import ID, KEY, fill_defaults
 
 
@@ -47,12 +48,13 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str = KEY, id_col: str = I
         raise ValueError(f"columns not in the table: {unknown}")
     latest = latest_by_key(fill_defaults(incoming, given), key, arrival)
 
-    updated = base.join(latest.drop(arrival), key, "left").select(*[
+    # Keys are unique on both sides; a small load is broadcast, so the table is not shuffled for it.
+    small = fits_broadcast(incoming)
+    updated = join_lookup(base, latest.drop(arrival), key, "left", 1, small).select(*[
         F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
         if c in given else F.col(c) for c in base.columns])
 
-    # Known keys first: a small load is compared with the big table without shuffling the latter.
-    known = base.select(key).join(latest.select(key), key, "left_semi")
+    known = join_lookup(base.select(key), latest.select(key), key, "left_semi", 1, small)
     fresh = latest.join(known, key, "left_anti")
     next_id = F.coalesce(base.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
     numbered = assign_row_id(fresh, [F.col(arrival)], id_col, next_id)
@@ -120,7 +122,7 @@ def delete(base: DataFrame, key: Any = None, id: Any = None, where: Column | Non
     """The table without the selected rows. ``key`` is a value, a few values or a DataFrame."""
     _selector(key, id, where)
     if isinstance(key, DataFrame):
-        return base.join(key.select(key_col), key_col, "left_anti")
+        return join_lookup(base, key.select(key_col), key_col, "left_anti", salts=1)
     return base.filter(~_condition(key, id, where, key_col, id_col))
 
 
@@ -129,7 +131,7 @@ def deletes_any(base: DataFrame, key: Any = None, id: Any = None, where: Column
     """Whether :func:`delete` would take a row away; stops at the first hit."""
     _selector(key, id, where)
     if isinstance(key, DataFrame):
-        hits = base.join(key.select(key_col), key_col, "left_semi")
+        hits = join_lookup(base, key.select(key_col), key_col, "left_semi", salts=1)
     else:
         hits = base.filter(_condition(key, id, where, key_col, id_col))
     return not hits.isEmpty()
@@ -143,6 +145,8 @@ def changed_rows(edited: DataFrame, stored: DataFrame, key: str = KEY) -> DataFr
     """Rows of ``edited`` whose values differ from the stored row of the same key, or are new."""
     values = [c for c in edited.columns if c != key]
     old = stored.select(key, F.struct(*values).alias("_old"))
+    # Only stored rows of the edited keys are compared; few edits are found without a shuffle.
+    old = join_lookup(old, edited.select(key), key, "left_semi", salts=1)
     return edited.join(old, key, "left").filter(
         F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*values))).drop("_old")
 

@@ -4,39 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 0.001
+BROADCAST_BYTES = 64 << 20
+HOT_SHARE = 1e-5
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Size check for a broadcast; reads no more than ``rows`` + 1 rows per task."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, roughly: text by its length, nested values by their JSON form."""
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        return F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
+    return F.lit(16)
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS,
+                   size: int = BROADCAST_BYTES) -> bool:
+    """Size check before a broadcast: one aggregate over the columns the join would read."""
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
+    count, total = df.agg(F.count("*"), F.sum(width)).head()
+    return count <= rows and (total or 0) <= size
 
 
 def join_lookup(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
-                salts: int = 16, broadcast_rows: int = BROADCAST_ROWS,
-                bounded_by: DataFrame | None = None) -> DataFrame:
-    """Join ``big`` with ``small``, whose ``on`` values are unique.
-
-    A small side of checked size is broadcast; the check may look at ``bounded_by`` instead, a
-    cheaper DataFrame known to have no fewer rows. Beyond that both sides are shuffled on
-    (key, salt): rows of ``big`` take one of ``salts`` salts, rows of ``small`` are copied to all,
-    so a hot key of ``big`` is spread over ``salts`` tasks. ``how`` may be any join that keeps
-    ``big`` on the preserved side: inner, left, left_semi, left_anti.
+                salts: int = 16, broadcast: bool | None = None,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with ``small``, where ``on`` may be skewed in ``big`` but not in ``small``.
+
+    A small side of checked size is broadcast; ``broadcast`` tells the outcome of a check made
+    before. Beyond that both sides are shuffled on (key, salt): rows of ``big`` take one of
+    ``salts`` salts, rows of ``small`` are copied to all, so a hot key of ``big`` is spread over
+    ``salts`` tasks. One salt, for keys unique in ``big`` too, is a plain shuffled join. ``how`` may
+    be any join that preserves ``big``: inner, left, left_semi, left_anti.
     """
-    if has_at_most(small if bounded_by is None else bounded_by, broadcast_rows):
+    if broadcast is None:
+        broadcast = fits_broadcast(small, broadcast_rows)
+    if broadcast:
         return big.join(F.broadcast(small), on, how)
+    if salts == 1:
+        return big.join(small, on, how)
     salted_big = big.withColumn(
         "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_big.join(salted_small, [on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that own more than ``share`` of the rows: never more than 1 / ``share`` of them."""
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = 0) -> DataFrame:
+    """Keys that own more than ``share`` of the rows, and more than ``min_rows``: never more than
+    1 / ``share`` of them, however many rows there are."""
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    floor = df.agg(F.count("*") * F.lit(share)).scalar()
+    floor = df.agg(F.greatest(F.count("*") * F.lit(share), F.lit(float(min_rows)))).scalar()
     return counts.filter(F.col("_rows") > floor).select(key)
 
 
@@ -46,8 +65,8 @@ def chunk_hot_keys(df: DataFrame, key: str, order_id: Column, chunk_rows: int,
 
     (key, chunk) groups of hot keys then hold at most ``chunk_rows`` rows, as order ids are unique.
     """
-    hot = hot_keys(df, key, share).withColumn("_hot", F.lit(True))
+    hot = hot_keys(df, key, share, chunk_rows).withColumn("_hot", F.lit(True))
     # The broadcast side has at most 1 / share rows, whatever the size of df.
     marked = df.join(F.broadcast(hot), key, "left")
-    return marked.withColumn(
-        "_chunk", F.when(F.col("_hot"), F.floor(order_id / F.lit(chunk_rows)))).drop("_hot")
+    chunk = F.call_function("div", order_id, F.lit(chunk_rows))
+    return marked.withColumn("_chunk", F.when(F.col("_hot"), chunk)).drop("_hot")

@@ -9,17 +9,19 @@ Pairs: ``pre``, ``post``, ``freq0`` (typed, then submitted), ``freq1`` (submitte
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.operators.skew import chunk_hot_keys, join_lookup
+from seekframe.operators.skew import HOT_SHARE, chunk_hot_keys, fits_broadcast, join_lookup
 
 TYPES = ("complete", "correct", "suggest")
 FREQUENCY_THRESHOLD = 100
 PAIR_SECONDS = 60
 CHUNK_ROWS = 1_000_000
 LAST_EVENTS = 64
+KEY_ROWS = 1_000_000  # meeting keys of the queries, when they are to be broadcast
 
 
 def prepare_events(df: DataFrame, id: Column, sequence: Column, time: Column, item: Column,
@@ -44,7 +46,7 @@ def item_stats(events: DataFrame) -> DataFrame:
 
 
 def with_next_submit(events: DataFrame, chunk_rows: int = CHUNK_ROWS,
-                     hot_share: float = 0.001) -> DataFrame:
+                     hot_share: float = HOT_SHARE) -> DataFrame:
     """Add ``_next``: item and time of the next submit of the sequence in arrival order.
 
     A sequence with more than ``hot_share`` of all events is cut into chunks of at most
@@ -74,7 +76,7 @@ def _in_time(seconds: float) -> Column:
 
 
 def event_pairs(events: DataFrame, seconds: float = PAIR_SECONDS, chunk_rows: int = CHUNK_ROWS,
-                hot_share: float = 0.001) -> DataFrame:
+                hot_share: float = HOT_SHARE) -> DataFrame:
     """``freq0`` and ``freq1`` of every pair, from one pass over the sequences."""
     followed = with_next_submit(events, chunk_rows, hot_share).filter(_in_time(seconds))
     return followed.groupBy(F.col("item").alias("pre"), F.col("_next.item").alias("post")).agg(
@@ -124,33 +126,49 @@ def last_events(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
 # --- serving ------------------------------------------------------------------------------------
 
 
-def _pair_hits(pairs: DataFrame, queries: DataFrame, freq: str) -> DataFrame:
+@dataclass(frozen=True)
+class Asked:
+    """Distinct query strings, and whether they are few enough to be broadcast."""
+
+    queries: DataFrame
+    few: bool
+
+    @classmethod
+    def of(cls, queries: DataFrame | Asked) -> Asked:
+        if isinstance(queries, Asked):
+            return queries
+        queries = queries.select("query").distinct()
+        return cls(queries, fits_broadcast(queries))
+
+    def join(self, big: DataFrame, side: DataFrame | None = None) -> DataFrame:
+        """``big`` joined with the queries, or with a ``side`` of at most one row per query."""
+        return join_lookup(big, self.queries if side is None else side, "query",
+                           broadcast=self.few)
+
+
+def _pair_hits(pairs: DataFrame, asked: Asked, freq: str) -> DataFrame:
     candidates = pairs.filter(F.col(freq) > 0).select(
         F.col("pre").alias("query"), F.col("post").alias("_key"), F.col(freq).alias("_freq"))
-    return join_lookup(candidates, queries, "query")
+    return asked.join(candidates)
 
 
-def _probable(hits: DataFrame, bases: DataFrame, queries: DataFrame,
-              threshold: float) -> DataFrame:
+def _probable(hits: DataFrame, bases: DataFrame, asked: Asked, threshold: float) -> DataFrame:
     """Hits whose frequency is at least ``threshold`` of the query's own; ``bases`` has one row
     (query, _base) per query."""
-    known = join_lookup(hits, bases, "query", bounded_by=queries)
-    return known.filter(F.try_divide("_freq", "_base") >= threshold).drop("_base")
+    return asked.join(hits, bases).filter(F.try_divide("_freq", "_base") >= threshold).drop("_base")
 
 
-def _own_counts(items: DataFrame, queries: DataFrame, column: str) -> DataFrame:
-    own = items.select(F.col("_key").alias("query"), F.col(column).alias("_base"))
-    return join_lookup(own, queries, "query")
+def _own_counts(items: DataFrame, asked: Asked, column: str) -> DataFrame:
+    return asked.join(items.select(F.col("_key").alias("query"), F.col(column).alias("_base")))
 
 
-def _prefix_hits(items: DataFrame, queries: DataFrame, bounded_by: DataFrame) -> DataFrame:
-    """Submitted items that start with a query, by key or by any reading: prefix = query, an
-    equi-join. Only prefixes as long as the longest query are made. ``queries`` are all or some of
-    ``bounded_by``."""
+def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
+    """Submitted items that start with one of ``queries`` (all or some of those asked), by key or
+    by any reading: prefix = query, an equi-join. No prefix is longer than the longest query."""
     names = F.array(F.col("_key"))
     if "kana" in items.columns:
         names = F.concat(names, F.coalesce(F.col("kana"), F.array().cast("array<string>")))
-    longest = F.coalesce(bounded_by.agg(F.max(F.length("query"))).scalar(), F.lit(0))
+    longest = F.coalesce(asked.queries.agg(F.max(F.length("query"))).scalar(), F.lit(0))
     named = items.filter(F.col("freq2") > 0).select(
         "_key", "freq2", names.alias("_names"), longest.alias("_longest"))
     starts = F.flatten(F.transform("_names", lambda name: F.transform(
@@ -158,7 +176,7 @@ def _prefix_hits(items: DataFrame, queries: DataFrame, bounded_by: DataFrame) ->
                  lambda size: size <= F.least(F.length(name), F.col("_longest"))),
         lambda size: F.substring(name, F.lit(1), size))))
     prefixes = named.select("_key", "freq2", F.explode(F.array_distinct(starts)).alias("query"))
-    return join_lookup(prefixes, queries, "query", bounded_by=bounded_by) \
+    return asked.join(prefixes, queries) \
         .select("query", "_key", (F.col("freq2") + 1).alias("_freq"))
 
 
@@ -174,28 +192,67 @@ def _without_one(text: Column) -> Column:
         F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
 
 
-def _spellings(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with one row per ``_spelling``: a hash of ``column`` with up to two characters taken
+LONG = 128
+PIECES = 64
+
+
+def _spellings(df: DataFrame, column: str, longest: int) -> DataFrame:
+    """``df`` with one row per ``_meet``: a hash of ``column`` with up to two characters taken
     away. Texts two edits apart share one, whichever edits they are."""
-    once = df.withColumn("_once", _without_one(F.col(column)))
+    short = df.filter(F.length(column) <= longest)
+    once = short.withColumn("_once", _without_one(F.col(column)))
     all_of_them = F.concat(F.array(F.col(column)), F.col("_once"),
                            F.flatten(F.transform("_once", _without_one)))
     hashes = F.transform(F.array_distinct(all_of_them), lambda s: F.xxhash64(s))
-    return once.withColumn("_spelling", F.explode(hashes)).drop("_once")
+    return once.withColumn("_meet", F.explode(hashes)).drop("_once")
 
 
-def _close(items: DataFrame, queries: DataFrame) -> DataFrame:
-    """Submitted items within two edits of a query, sharing a bigram with it, submitted more often
-    than the query itself.
+def _frames(df: DataFrame, column: str, lengths: Column, shifts: list[int]) -> DataFrame:
+    """``df`` with one row per ``_meet``: a hash of what is left of ``column`` after leaving out
+    two of ``PIECES`` pieces.
 
-    Candidates meet on a shared spelling, so texts that merely have a common bigram or beginning
-    are never paired. Spellings grow with the square of the text length; that suits search strings.
+    Two edits of a long item touch at most two pieces. What stands before the first is found in
+    the edited text at the same place, what stands between them moved by ``shifts``, and the rest
+    at the end. ``lengths`` are the item lengths the text is compared with.
+    """
+    pieces = F.array(*[F.lit(i) for i in range(PIECES)])
+    rows = df.withColumn("_n", F.explode(F.filter(lengths, lambda n: n > LONG))) \
+        .withColumn("_shift", F.explode(F.array(*[F.lit(s) for s in shifts]))) \
+        .withColumn("_a", F.explode(F.slice(pieces, 1, PIECES - 1))) \
+        .withColumn("_b", F.explode(F.slice(pieces, F.col("_a") + 2, PIECES)))
+    cut = lambda piece: F.call_function("div", piece * F.col("_n"), F.lit(PIECES))
+    text, one = F.col(column), F.lit(1)
+    end_a, start_b, end_b = cut(F.col("_a") + 1), cut(F.col("_b")), cut(F.col("_b") + 1)
+    part = lambda start, size: F.substring(
+        text, (start + one).cast("int"), F.greatest(size, F.lit(0)).cast("int"))
+    frame = F.struct(
+        "_n", "_a", "_b", part(F.lit(0), cut(F.col("_a"))),
+        part(end_a + F.col("_shift"), start_b - end_a),
+        part(end_b + F.length(text) - F.col("_n"), F.length(text)))
+    return rows.withColumn("_meet", F.xxhash64(frame)).drop("_n", "_shift", "_a", "_b")
+
+
+def _close(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
+    """Submitted items within two edits of one of ``queries``, sharing a bigram with it, submitted
+    more often than the query itself.
+
+    Candidates meet on a shared spelling or, for items longer than ``LONG``, on all but two of
+    their pieces; texts that merely have a bigram or a beginning in common are never paired.
     """
-    own = items.select(F.col("_key").alias("query"), F.col("freq2").alias("_own"))
-    asked = queries.join(own, "query", "left").withColumn(
-        "_own", F.coalesce("_own", F.lit(0)))
+    own = asked.join(items.select(F.col("_key").alias("query"), F.col("freq2").alias("_own")))
+    wanted = queries.join(own, "query", "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
     offered = items.filter(F.col("freq2") > 0).select("_key", "freq2")
-    met = _spellings(offered, "_key").join(_spellings(asked, "query"), "_spelling")
+    # An edit may make a text one character longer or shorter, so short queries reach a bit further.
+    item_keys = _spellings(offered, "_key", LONG).unionByName(
+        _frames(offered, "_key", F.array(F.length("_key")), [0]))
+
+    def query_keys(rows: DataFrame) -> DataFrame:
+        lengths = F.sequence(F.length("query") - 2, F.length("query") + 2)
+        return _spellings(rows, "query", LONG + 2).unionByName(
+            _frames(rows, "query", lengths, [-2, -1, 0, 1, 2]))
+
+    few = asked.few and fits_broadcast(query_keys(asked.queries), KEY_ROWS)
+    met = join_lookup(item_keys, query_keys(wanted), "_meet", salts=1, broadcast=few)
     near = met.filter(
         (F.col("freq2") > F.col("_own")) & (F.col("_key") != F.col("query"))
         & (F.levenshtein("_key", "query", 2) >= 0)
@@ -208,58 +265,62 @@ def _either(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second).groupBy("query", "_key").agg(F.max("_freq").alias("_freq"))
 
 
-def _unanswered(queries: DataFrame, hits: DataFrame) -> DataFrame:
-    return queries.join(hits.select("query").distinct(), "query", "left_anti")
+def _unanswered(asked: Asked, hits: DataFrame) -> DataFrame:
+    return asked.queries.join(hits.select("query").distinct(), "query", "left_anti")
 
 
-def complete(items: DataFrame, pairs: DataFrame, queries: DataFrame,
+def complete(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
              frequency_threshold: int = FREQUENCY_THRESHOLD,
              conditional_probability_threshold: float | None = None,
              prefix_search: bool | None = None) -> DataFrame:
     """Completions from pairs; submitted items by prefix where no pair is frequent enough, always
     (``prefix_search=True``) or never (``False``)."""
-    typed = _pair_hits(pairs, queries, "freq0").filter(F.col("_freq") >= frequency_threshold)
+    asked = Asked.of(queries)
+    typed = _pair_hits(pairs, asked, "freq0").filter(F.col("_freq") >= frequency_threshold)
     if conditional_probability_threshold is not None:
-        typed = _probable(typed, _own_counts(items, queries, "freq"), queries,
+        typed = _probable(typed, _own_counts(items, asked, "freq"), asked,
                           conditional_probability_threshold)
     if prefix_search is False:
         return typed
     if prefix_search:
-        return _either(typed, _prefix_hits(items, queries, queries)
+        return _either(typed, _prefix_hits(items, asked, asked.queries)
                        .filter(F.col("_freq") >= frequency_threshold))
-    by_prefix = _prefix_hits(items, _unanswered(queries, typed), queries)
+    by_prefix = _prefix_hits(items, asked, _unanswered(asked, typed))
     return typed.unionByName(by_prefix.filter(F.col("_freq") >= frequency_threshold))
 
 
-def correct(items: DataFrame, pairs: DataFrame, queries: DataFrame,
+def correct(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
             frequency_threshold: int = FREQUENCY_THRESHOLD,
             conditional_probability_threshold: float | None = None,
             similar_search: bool | None = None) -> DataFrame:
     """Corrections from pairs; similar items for queries never submitted that have no pair, always
     (``similar_search=True``) or never (``False``)."""
-    followed = _pair_hits(pairs, queries, "freq1").filter(F.col("_freq") >= frequency_threshold)
+    asked = Asked.of(queries)
+    followed = _pair_hits(pairs, asked, "freq1").filter(F.col("_freq") >= frequency_threshold)
     if conditional_probability_threshold is not None:
-        followed = _probable(followed, _own_counts(items, queries, "freq2"), queries,
+        followed = _probable(followed, _own_counts(items, asked, "freq2"), asked,
                              conditional_probability_threshold)
     if similar_search is False:
         return followed
     if similar_search:
-        return _either(followed, _close(items, queries)
+        return _either(followed, _close(items, asked, asked.queries)
                        .filter(F.col("_freq") >= frequency_threshold))
     known = items.filter(F.col("freq2") > 0).select(F.col("_key").alias("query"))
-    unknown = _unanswered(queries, followed).join(known, "query", "left_anti")
+    submitted = asked.join(known)
+    unknown = _unanswered(asked, followed).join(submitted, "query", "left_anti")
     return followed.unionByName(
-        _close(items, unknown).filter(F.col("_freq") >= frequency_threshold))
+        _close(items, asked, unknown).filter(F.col("_freq") >= frequency_threshold))
 
 
-def related(items: DataFrame, pairs: DataFrame, queries: DataFrame,
+def related(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
             frequency_threshold: int = FREQUENCY_THRESHOLD,
             conditional_probability_threshold: float | None = None) -> DataFrame:
     """Submitted items that have the query as one of their words."""
-    worded = _pair_hits(pairs, queries, "freq2")
+    asked = Asked.of(queries)
+    worded = _pair_hits(pairs, asked, "freq2")
     if conditional_probability_threshold is not None:
         bases = worded.groupBy("query").agg(F.sum("_freq").alias("_base"))
-        worded = _probable(worded, bases, queries, conditional_probability_threshold)
+        worded = _probable(worded, bases, asked, conditional_probability_threshold)
     return worded.filter(F.col("_freq") >= frequency_threshold)
 
 
@@ -274,8 +335,7 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame,
     unknown = [t for t in types if t not in TYPES]
     if unknown:
         raise KeyError(unknown[0])
-    queries = queries.select("query").distinct()
-    shared = (items, pairs, queries, frequency_threshold, conditional_probability_threshold)
+    shared = (items, pairs, Asked.of(queries), frequency_threshold, conditional_probability_threshold)
     made = {
         "complete": lambda: complete(*shared, prefix_search),
         "correct": lambda: correct(*shared, similar_search),
@@ -302,7 +362,7 @@ def suggest(items: DataFrame, pairs: DataFrame, query: str,
     """Suggestions for one string. Literal filters reach the scans of both tables before the
     general join: pairs by ``pre``, items by what could be a prefix, a similar or the query's item.
     """
-    queries = items.sparkSession.createDataFrame([(query,)], "query string")
+    queries = items.sparkSession.range(1).select(F.lit(query).alias("query"))
     key = F.col("_key")
     wanted = (key == query)
     if "complete" in types:

@@ -56,9 +56,10 @@ def drilldown_filtered(t):
     return fc.drilldown(rows, "source", "doc_id")
 
 
-@query(f"""SELECT _key, _nsubrecs, rank FROM ({_ranked_sql('_nsubrecs DESC, _first')})""")
+@query(f"""SELECT _key, _nsubrecs, rank FROM ({_ranked_sql('_nsubrecs DESC, _first')})
+           WHERE rank <= 100""")
 def drilldown_sortby(t):
-    return _rank(fc.facet_page(_facet(t), ["-_nsubrecs"]), ["-_nsubrecs"])
+    return _rank(fc.facet_page(_facet(t), ["-_nsubrecs"], 100), ["-_nsubrecs"])
 
 
 @query(f"SELECT _key FROM ({_facet_sql()})")

@@ -118,9 +118,9 @@ def test_close_equals_brute_force(spark):
     own = dict(items)
     want = {(q, w) for q in asked for w, n in items
             if n > own.get(q, 0) and w != q and distance(q, w) <= 2 and grams(q) & grams(w)}
-    got = sg._close(spark.createDataFrame(items, "_key string, freq2 long"),
-                    spark.createDataFrame([(q,) for q in asked], "query string"))
-    rows = got.collect()
+    queries = sg.Asked.of(spark.createDataFrame([(q,) for q in asked], "query string"))
+    rows = sg._close(spark.createDataFrame(items, "_key string, freq2 long"), queries,
+                     queries.queries).collect()
     assert {(r["query"], r["_key"]) for r in rows} == want and len(rows) == len(want)
 
 
@@ -129,9 +129,32 @@ def test_long_texts_that_are_close(spark):
     near = [base, base[1:], base[:50] + "X" + base[52:], "Y" + base + "Z", base[:-2]]
     far = [base[3:], base + "123", base.replace("long", "short")]
     items = spark.createDataFrame([(t, 5) for t in near + far], "_key string, freq2 long")
-    got = sg._close(items, spark.createDataFrame([(base[:20] + "q" + base[20:],)], "query string"))
-    found = {r["_key"] for r in got.collect()}
-    assert {base, base[1:]} <= found and not found & set(far)
+    for few in (True, False):
+        queries = spark.createDataFrame([(base[:20] + "q" + base[20:],)], "query string")
+        got = sg._close(items, sg.Asked(queries, few), queries).collect()
+        found = {r["_key"] for r in got}
+        assert {base, base[1:]} <= found and not found & set(far)
+
+
+def test_close_long_texts_equal_brute_force(spark):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(130))
+
+    def edited(text, times):
+        for _ in range(times):
+            at = rng.randint(0, len(text))
+            text = rng.choice([text[:at] + "z" + text[at:], text[:at] + text[at + 1:],
+                               text[:at] + "y" + text[at + 1:]])
+        return text
+
+    items = sorted({edited(base, rng.randint(0, 4)) for _ in range(60)})
+    offered = spark.createDataFrame([(t, 5) for t in items], "_key string, freq2 long")
+    queries = spark.createDataFrame([(base + "!",), (edited(base, 1),)], "query string").distinct()
+    got = sg._close(offered, sg.Asked(queries, True), queries).collect()
+    want = offered.crossJoin(queries).filter("_key != query and levenshtein(_key, query) <= 2") \
+        .collect()
+    assert {(r["query"], r["_key"]) for r in got} == {(r["query"], r["_key"]) for r in want}
+    assert {len(r["_key"]) > sg.LONG for r in got} == {True, False} or len(got) > 10
 
 
 def test_batch_equals_single(spark, hundred):
