@@ -362,7 +362,8 @@ def suggest(items: DataFrame, pairs: DataFrame, query: str,
     """Suggestions for one string. Literal filters reach the scans of both tables before the
     general join: pairs by ``pre``, items by what could be a prefix, a similar or the query's item.
     """
-    queries = items.sparkSession.range(1).select(F.lit(query).alias("query"))
+    # A row, not a literal column: equality of two constants would leave a join without a key.
+    queries = items.sparkSession.createDataFrame([(query,)], "query string")
     key = F.col("_key")
     wanted = (key == query)
     if "complete" in types:

@@ -78,7 +78,7 @@ _TOKENS = sql.token_list("text")
            FROM ({sql.postings('documents', 'doc_id', _TOKENS)}) GROUP BY token""")
 def index_build(t):
     path = scratch_path(t.spark, "index")
-    ix.write_index(ix.build_postings(t.texts, "doc_id", ["text"]), "doc_id", path)
+    ix.write_index(ix.build_postings(t.texts, "doc_id", ["text"]), "doc_id", path, buckets=16)
     return ix.term_stats(ix.read_index(t.spark, path), "doc_id")
 
 

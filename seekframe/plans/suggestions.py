@@ -149,7 +149,7 @@ def suggest_boost(t):
 @query(f"""{_PAIRS}, hits AS (
                SELECT post AS _key, freq0 AS _score,
                       row_number() OVER (ORDER BY freq0 DESC, post) AS rn
-               FROM event_pairs WHERE pre = '9')
+               FROM event_pairs WHERE pre = '9' AND freq0 >= 1)
            SELECT _key, _score, rn - 2 AS rank FROM hits WHERE rn > 2 AND rn <= 7""")
 def suggest_paging(t):
     hits = _one(t.learned, "9", frequency_threshold=1, prefix_search=False).select("_key", "_score")

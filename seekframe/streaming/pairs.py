@@ -47,7 +47,8 @@ class PairLearner:
 
     def _before(self, table: str, batch: int, schema: T.StructType) -> DataFrame:
         if batch == 0:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         return self.spark.read.schema(schema).parquet(self._path(table, batch - 1))
 
     def _write(self, df: DataFrame, table: str, batch: int) -> None:
