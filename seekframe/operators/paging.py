@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seekframe.operators.rows import assign_row_id
+from seekframe.operators.skew import join_lookup
 
 TOP_ROWS = 100_000
 
@@ -33,8 +34,13 @@ def _without(df: DataFrame, rows: DataFrame, tie: str) -> DataFrame:
     return df.join(F.broadcast(rows.select(tie)), tie, "left_anti")
 
 
-def _ranked(df: DataFrame, keys: list[str], tie: str) -> DataFrame:
-    return assign_row_id(df, order(keys, tie), column="_rank", start=0)
+def _where_rank(df: DataFrame, keys: list[str], tie: str, inside: Column) -> DataFrame:
+    """The rows whose dense ``_rank`` (from 0) is ``inside``. Only sort columns are placed and
+    written; ids are unique, so the rows are found by them."""
+    names = list(dict.fromkeys([*(k.removeprefix("-") for k in keys), tie]))
+    ranks = assign_row_id(df.select(*names), order(keys, tie), column="_rank", start=0)
+    kept = ranks.filter(inside).select(tie)
+    return join_lookup(df, kept, tie, "left_semi", salts=1).orderBy(*order(keys, tie))
 
 
 def page(df: DataFrame, keys: list[str], limit: int | None = None, offset: int = 0,
@@ -59,14 +65,13 @@ def page(df: DataFrame, keys: list[str], limit: int | None = None, offset: int =
         dropped = -limit - 1
         kept = _without(df, df.orderBy(*backward).limit(dropped), tie) if dropped else df
         return kept.orderBy(*forward)
-    ranked = _ranked(df, keys, tie)
     total = F.lit(df.count())
     start = F.lit(offset) if offset >= 0 else F.greatest(F.lit(0), total + F.lit(offset))
     inside = F.col("_rank") >= start
     if limit is not None:
         size = F.lit(limit) if limit > 0 else F.greatest(F.lit(0), total + F.lit(limit + 1))
         inside = inside & (F.col("_rank") < start + size)
-    return ranked.filter(inside).drop("_rank").orderBy(*forward)
+    return _where_rank(df, keys, tie, inside)
 
 
 def rank_page(rows: DataFrame, keys: list[str], column: str = "rank", tie: str = "_id") -> DataFrame:
@@ -84,13 +89,11 @@ def slice_rows(df: DataFrame, keys: list[str], start: int = 0, stop: int | None
         return page(df, keys, None if stop is None else max(0, stop - start), start, tie, top_rows)
     if stop is not None and stop <= top_rows:
         cut = rank_page(page(df, keys, max(0, stop - start), start, tie), keys, "_rank", tie)
-        kept = F.col("_rank") % step == 1
-    else:
-        cut = _ranked(df, keys, tie)
-        kept = (F.col("_rank") >= start) & ((F.col("_rank") - start) % step == 0)
-        if stop is not None:
-            kept = kept & (F.col("_rank") < stop)
-    return cut.filter(kept).drop("_rank").orderBy(*order(keys, tie))
+        return cut.filter(F.col("_rank") % step == 1).drop("_rank").orderBy(*order(keys, tie))
+    kept = (F.col("_rank") >= start) & ((F.col("_rank") - start) % step == 0)
+    if stop is not None:
+        kept = kept & (F.col("_rank") < stop)
+    return _where_rank(df, keys, tie, kept)
 
 
 def with_total(shown: DataFrame, rows: DataFrame, column: str = "all_len") -> DataFrame:

@@ -20,6 +20,13 @@ def _width(field: T.StructField) -> Column:
     return F.lit(16)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the row's values. A task that runs again after a lost executor gets the same one,
+    whatever order its input comes in; a hash of a row number would not."""
+    return F.xxhash64(*[f.name for f in df.schema.fields
+                        if not isinstance(f.dataType, T.MapType | T.VariantType)])
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS,
                    size: int = BROADCAST_BYTES) -> bool:
     """Size check before a broadcast: one aggregate over the columns the join would read."""
@@ -35,7 +42,7 @@ def join_lookup(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
 
     A small side of checked size is broadcast; ``broadcast`` tells the outcome of a check made
     before. Beyond that both sides are shuffled on (key, salt): rows of ``big`` take one of
-    ``salts`` salts, rows of ``small`` are copied to all, so a hot key of ``big`` is spread over
+    ``salts`` salts by their values, rows of ``small`` are copied to all, so a hot key of ``big`` is spread over
     ``salts`` tasks. One salt, for keys unique in ``big`` too, is a plain shuffled join. ``how`` may
     be any join that preserves ``big``: inner, left, left_semi, left_anti.
     """
@@ -45,8 +52,7 @@ def join_lookup(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
         return big.join(F.broadcast(small), on, how)
     if salts == 1:
         return big.join(small, on, how)
-    salted_big = big.withColumn(
-        "_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+    salted_big = big.withColumn("_salt", F.pmod(row_hash(big), F.lit(salts)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_big.join(salted_small, [on, "_salt"], how).drop("_salt")
 
