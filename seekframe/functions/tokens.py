@@ -20,6 +20,7 @@ from seekframe.functions.text import BLANK, normalise
 CJK = (r"\u2E80-\u2FDF\u3005-\u3007\u3021-\u3029\u3038-\u303B\u3041-\u3096\u309D-\u309F"
        r"\u30A1-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
        r"\uFF66-\uFF9D\x{20000}-\x{323AF}")
+WIDE = r"\u2E80-\x{10FFFF}"  # one range that holds all of CJK, for a quick test
 CLASSES = {
     "alpha": r"\p{L}",
     "digit": r"\p{N}",
@@ -80,11 +81,11 @@ def _cut(text: Column, spec: Tokenizer) -> Column:
 
     mixed = cut_runs(runs([f"[{split}{CJK}]+", *(f"[{c}&&[^{CJK}]]+" for c in whole)]),
                      split + CJK)
-    # Most texts have no CJK characters, and their classes need no exclusions.
+    # Most texts have no such characters, and their classes need no exclusions.
     plain = runs([f"[{c}]+" for c in ([split] if split else []) + whole])
     if split:
         plain = cut_runs(plain, split)
-    return F.when(text.rlike(f"[{CJK}]"), mixed).otherwise(plain)
+    return F.when(text.rlike(f"[{WIDE}]"), mixed).otherwise(plain)
 
 
 def _spec(tokenizer: str | Tokenizer) -> Tokenizer:

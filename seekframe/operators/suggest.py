@@ -162,6 +162,11 @@ def _own_counts(items: DataFrame, asked: Asked, column: str) -> DataFrame:
     return asked.join(items.select(F.col("_key").alias("query"), F.col(column).alias("_base")))
 
 
+def _up_to(n: Column) -> Column:
+    """1 … n, empty below 1."""
+    return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+
 def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
     """Submitted items that start with one of ``queries`` (all or some of those asked), by key or
     by any reading: prefix = query, an equi-join. No prefix is longer than the longest query."""
@@ -172,8 +177,7 @@ def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFram
     named = items.filter(F.col("freq2") > 0).select(
         "_key", "freq2", names.alias("_names"), longest.alias("_longest"))
     starts = F.flatten(F.transform("_names", lambda name: F.transform(
-        F.filter(F.sequence(F.lit(1), F.col("_longest") + 1),
-                 lambda size: size <= F.least(F.length(name), F.col("_longest"))),
+        _up_to(F.least(F.length(name), F.col("_longest"))),
         lambda size: F.substring(name, F.lit(1), size))))
     prefixes = named.select("_key", "freq2", F.explode(F.array_distinct(starts)).alias("query"))
     return asked.join(prefixes, queries) \
@@ -186,9 +190,7 @@ def _bigrams(col: Column) -> Column:
 
 def _without_one(text: Column) -> Column:
     """All strings left after taking one character away."""
-    spots = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))) \
-        .otherwise(F.array().cast("array<int>"))
-    return F.transform(spots, lambda i: F.concat(
+    return F.transform(_up_to(F.length(text)), lambda i: F.concat(
         F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
 
 
