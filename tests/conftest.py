@@ -8,8 +8,9 @@ from seekframe.session import build_session
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     work = tmp_path_factory.mktemp("spark")
-    session = build_session("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4",
+    session = build_session("tests", "local[8]", **{
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.checkpoint.dir": str(work / "shared"),
         "spark.sql.warehouse.dir": str(work / "warehouse"),
