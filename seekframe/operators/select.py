@@ -44,7 +44,7 @@ class SearchResult:
     facets: dict[str, DataFrame]
 
 
-def search(df: DataFrame, *conditions: Column, query: str | None = None,
+def search(df: DataFrame, *conditions: Column, query: str | list[str] | None = None,
            match_columns: dict[str, int] | list[str] | None = None,
            filters: list[Column] | None = None, sort_by: list[str] | None = None,
            limit: int | None = None, offset: int = 0, output_columns: list[str] | None = None,
@@ -52,8 +52,8 @@ def search(df: DataFrame, *conditions: Column, query: str | None = None,
            **keywords: str) -> SearchResult:
     """A whole selection in one call.
 
-    ``query`` is matched against ``match_columns`` (a list, or names with weights) and adds
-    ``_score``. Conditions, query and filters all restrict the rows; facets count every selected
+    ``query``, a text or several of which any may match, is looked for in ``match_columns`` (a
+    list, or names with weights) and adds ``_score``. Conditions, query and filters all restrict the rows; facets count every selected
     row, whatever the page shows.
     """
     rows = select_rows(df, *conditions, **keywords)
@@ -62,8 +62,10 @@ def search(df: DataFrame, *conditions: Column, query: str | None = None,
             raise ValueError("a query needs match_columns")
         weights = match_columns if isinstance(match_columns, dict) \
             else {name: 1 for name in match_columns}
-        rows = rows.filter(matches_any([F.col(c) for c in weights], query)) \
-            .withColumn("_score", score(weights, [query]))
+        terms = [query] if isinstance(query, str) else list(query)
+        columns = [F.col(c) for c in weights]
+        rows = rows.filter(any_of([matches_any(columns, term) for term in terms])) \
+            .withColumn("_score", score(weights, terms))
     if filters:
         rows = filter_rows(rows, *filters)
     shown = pg.page(rows, sort_by or [id_col], limit, offset, tie=id_col)

@@ -123,6 +123,12 @@ def last_events(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
         .filter(F.col("_back") <= last).withColumn("_back", F.col("_back").cast("long"))
 
 
+def sequence_table(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
+    """Per sequence the ids of its latest ``last`` events, oldest first: vectors of bounded size."""
+    return last_events(events, last).groupBy(F.col("sequence").alias("_key")).agg(
+        F.sort_array(F.collect_list("_id")).alias("events"))
+
+
 # --- serving ------------------------------------------------------------------------------------
 
 

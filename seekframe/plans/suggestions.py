@@ -51,6 +51,16 @@ def sequence_last_n(t):
     return sg.last_events(t.log).select("_id", "sequence", "_back")
 
 
+@query("""SELECT CAST(user_id AS VARCHAR) AS _key,
+                 string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS events
+          FROM (SELECT event_id, user_id, row_number() OVER (
+                    PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events)
+          WHERE back <= 10 GROUP BY user_id""")
+def sequence_vectors(t):
+    return sg.sequence_table(t.log, 10).select("_key", F.array_join(
+        F.transform("events", lambda e: e.cast("string")), ",").alias("events"))
+
+
 # --- one query ----------------------------------------------------------------------------------
 
 def _one(tables, text, types=("complete",), **options):

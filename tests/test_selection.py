@@ -79,6 +79,8 @@ def test_total_and_search(articles):
     assert [tuple(r) for r in found.page.collect()] == [("key1", 12)]
     assert found.total.head()[0] == 2
     assert found.facets["title"].count() == 2
+    either = sel.search(articles, query=["arch", "hastur"], match_columns=["title"]).page
+    assert ids(either) == [1, 5] and ids(either, "_score") == [1, 1]
     with pytest.raises(ValueError):
         sel.search(articles, query="linux")
 

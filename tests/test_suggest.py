@@ -211,6 +211,15 @@ def test_last_events(spark):
         (s, i) for s, all_ids in want.items() for i in all_ids[-3:]}
 
 
+def test_sequence_table(spark):
+    rows = random_log(300)
+    got = sg.sequence_table(spark.createDataFrame(rows, EVENT_SCHEMA), 4).collect()
+    want = {}
+    for row in rows:
+        want.setdefault(row[1], []).append(row[0])
+    assert {r["_key"]: r["events"] for r in got} == {s: i[-4:] for s, i in want.items()}
+
+
 def stream_of(spark, rows, parts):
     """The rows as a file stream of one file per part, read one file per batch."""
     path = scratch_path(spark, "stream")

@@ -154,6 +154,22 @@ def test_json_records(spark, small):
     assert back.columns == ["_key", "name"] and back.count() == 3
 
 
+def test_event_records(spark, tmp_path):
+    """An array of events with fractional epoch seconds; absent fields take defaults on load."""
+    (tmp_path / "events.json").write_text("""[
+        {"sequence": "1", "time": 1312950803.86057, "item": "e"},
+        {"sequence": "1", "time": 1312950805.5, "item": "engine", "type": "submit", "_id": 9}]""")
+    events = sc.declare({"sequence": sc.Field(), "time": sc.Field("Time"), "item": sc.Field(),
+                         "type": sc.Field()}, key=None)
+    rows = read_records(spark, str(tmp_path), events, array=True)
+    micros = [r[0] for r in rows.select(F.unix_micros("time")).collect()]
+    assert micros == [1312950803860570, 1312950805500000]
+    assert [r["type"] for r in sc.fill_defaults(rows).collect()] == ["", "submit"]
+    path = scratch_path(spark, "records")
+    write_records(rows, path)
+    assert read_records(spark, path, events).exceptAll(rows).isEmpty()
+
+
 def test_row_ids_are_dense(spark):
     df = spark.range(0, 5000, numPartitions=7).select(
         (C("id") % 3).alias("k"), C("id").alias("v"))
@@ -191,7 +207,7 @@ def test_salted_join_equals_plain_join(spark, how):
     big = spark.range(0, 3000).select(
         C("id"), F.when(C("id") % 3 == 0, F.lit(0)).otherwise(C("id") % 50).alias("k"))
     small = spark.range(0, 40).select(C("id").alias("k"), (C("id") * 2).alias("w"))
-    plain = sorted(tuple(r) for r in big.join(small, "k", how).collect() if True)
+    plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
     salted = join_lookup(big, small, "k", how, salts=4, broadcast_rows=10)
     assert sorted(tuple(r) for r in salted.collect()) == plain
 
