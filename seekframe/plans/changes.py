@@ -155,7 +155,6 @@ def create_if_absent(t):
     name = store.root.rsplit("-", 1)[1]
     name = f"customers_{name}"
     store.create_all({name: CUSTOMER})
-    rows = _customers(t).withColumn("nation", C("nation").cast("short"))
-    store.load(name, rows.filter(C("balance") >= 0).withColumnRenamed("_id", "at"), arrival="at")
+    store.load(name, _customers(t).filter(C("balance") >= 0).withColumnRenamed("_id", "at"), arrival="at")
     store.create_all({name: CUSTOMER})
     return store.scan(name)

@@ -42,7 +42,8 @@ class TableStore:
     def replace(self, name: str, df: DataFrame) -> None:
         """Make ``df`` the next snapshot; it may read the current one."""
         path = self._new_folder(name)
-        df.select(*self.scan(name).columns).write.parquet(path)
+        schema = self.scan(name).schema
+        conform(df.select(*schema.names), schema).write.parquet(path)
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
