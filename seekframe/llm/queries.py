@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import simhash
+from seekframe.llm import bpe, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,3 +27,20 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op3_simhash(spark, folder):
     found = simhash.near_duplicates(read(spark, folder, "documents"), simhash.EXACT)
     return found.select("doc_id", "fingerprint", F.col("component_id").cast("long"))
+
+
+@query
+def op4_bpe(spark, folder):
+    return bpe.round_trip(read(spark, folder, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_pii(spark, folder):
+    return pii.find_personal_data(read(spark, folder, "documents"))
+
+
+@query
+def op7_packing(spark, folder):
+    return packing.pack_documents(read(spark, folder, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
