@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import bpe, packing, pii, simhash
+from seekframe.llm import bpe, packing, pii, quality, simhash, toxicity
+from seekframe.llm.tables import held_out, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +36,19 @@ def op4_bpe(spark, folder):
                           public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = spread(docs.select("doc_id", "text")).withColumn("score", score)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op5_quality(spark, folder):
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    model = quality.learn(docs, labels)
+    return _scored(docs, quality.score("text", model), quality.THRESHOLD)
+
+
 @query
 def op6_pii(spark, folder):
     return pii.find_personal_data(read(spark, folder, "documents"))
@@ -44,3 +58,10 @@ def op6_pii(spark, folder):
 def op7_packing(spark, folder):
     return packing.pack_documents(read(spark, folder, "documents"),
                                   public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    model = toxicity.learn(docs, labels)
+    return _scored(docs, toxicity.score("text", model), toxicity.THRESHOLD)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seekframe.session import materialise, spread
@@ -17,33 +19,39 @@ def held_out(id_column: str | Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(text.cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+class Example(NamedTuple):
+    text: str
+    label: int
+    weight: float
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str,
-                    rows: int = LEARN_ROWS, chars: int = LEARN_CHARS) -> list[tuple[str, int]]:
-    """At most ``rows`` (text, label) pairs that are not held out, for fitting on the driver.
+                    rows: int = LEARN_ROWS, chars: int = LEARN_CHARS) -> list[Example]:
+    """At most ``rows`` labelled texts that are not held out, for fitting on the driver.
 
     Both classes get up to half of the rows; which ones is fixed by a hash of the id, so a rerun
-    learns from the same texts. Texts over ``chars`` characters are not learned from, which bounds
-    the driver's memory by ``rows * chars``. Null ids, labels and texts are left out; repeated
-    rows are taken once.
+    learns from the same texts. Weights restore the classes' shares among all usable labels. Texts
+    over ``chars`` characters are not learned from, which bounds the driver's memory by
+    ``rows * chars``. Null ids, labels and texts are left out; repeated rows are taken once.
     """
     usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")) \
         .filter(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out("_id"))
+    counts = {r["_label"]: r["count"] for r in usable.groupBy("_label").count().collect()}
     order = F.xxhash64("_id")
-    # Four times as many ids as wanted, because some labelled documents are long or absent.
-    picked = None
-    for value in (0, 1):
-        part = usable.filter(F.col("_label") == value).orderBy(order, "_id").limit(2 * rows)
-        picked = part if picked is None else picked.unionAll(part)
-    texts = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")) \
-        .filter(F.col("_text").isNotNull() & (F.length("_text") <= chars))
-    # The broadcast side holds at most 4 * rows pairs of numbers.
-    found = texts.join(F.broadcast(picked.distinct()), "_id").distinct()
-    out = []
-    for value in (0, 1):
-        best = found.filter(F.col("_label") == value).orderBy(order, "_id", "_text") \
-            .limit(rows // 2)
-        out += [(row["_text"], row["_label"]) for row in best.toLocalIterator()]
-    return out
+    # Twice as many ids as wanted, because some labelled documents are long or absent.
+    parts = [usable.filter(F.col("_label") == value).orderBy(order, "_id").limit(rows)
+             for value in (0, 1)]
+    # The broadcast side holds at most 2 * rows pairs of numbers.
+    picked = F.broadcast(parts[0].unionAll(parts[1]).distinct())
+    found = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")) \
+        .filter(F.col("_text").isNotNull() & (F.length("_text") <= chars)) \
+        .join(picked, "_id").distinct()
+    taken = Window.partitionBy("_label").orderBy(order, "_id", "_text")
+    found = found.withColumn("_n", F.row_number().over(taken)).filter(F.col("_n") <= rows // 2)
+    got = sorted((r["_label"], r["_n"], r["_text"]) for r in found.collect())
+    total, sizes = sum(counts.values()), [sum(g[0] == v for g in got) for v in (0, 1)]
+    weights = [counts.get(v, 0) / total / (n / len(got)) if n else 0.0 for v, n in enumerate(sizes)]
+    return [Example(text, value, weights[value]) for value, _, text in got]
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
