@@ -8,8 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.llm import bpe, packing, pii, quality, simhash, toxicity
+from seekframe.llm import (
+    bpe,
+    packing,
+    pii,
+    pq,
+    quality,
+    simhash,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from seekframe.llm.tables import held_out, spread
+from seekframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +36,31 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_url_filter(spark, folder):
+    return url_filter.judge(read(spark, folder, "pages"))
+
+
+SQL["op1_url_filter"] = url_filter.judge_sql()
+
+
+@query
+def op2_topk(spark, folder):
+    found = topk.search(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+SQL["op2_topk"] = """
+    WITH rows AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL),
+      scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+          list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+        FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+      ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id
+          ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 @query
 def op3_simhash(spark, folder):
     found = simhash.near_duplicates(read(spark, folder, "documents"), simhash.EXACT)
@@ -65,3 +102,26 @@ def op8_toxicity(spark, folder):
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     model = toxicity.learn(docs, labels)
     return _scored(docs, toxicity.score("text", model), toxicity.THRESHOLD)
+
+
+@query
+def op9_near_vectors(spark, folder):
+    return pq.near_vectors(read(spark, folder, "embeddings"))
+
+
+@query
+def op10_warc(spark, folder):
+    archive = scratch_path(spark, "warc")
+    warc.write_archive(read(spark, folder, "pages"), archive)
+    found = warc.records(warc.read_archive(spark, archive, payload=False))
+    return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
+SQL["op10_warc"] = """
+    WITH rows AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS owner FROM pages)
+    SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+      CASE WHEN size >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN size >= 1000 AND page_id <> owner THEN owner END AS refers_to
+    FROM rows"""

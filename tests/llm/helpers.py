@@ -1,5 +1,10 @@
 """Inputs the tests of the llm operators share."""
 
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
 FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
