@@ -52,7 +52,7 @@ def test_finds_every_link(spark, monkeypatch, part, ask, fit_rows):
     rows = [(i, [float(np.float32(x)) for x in v], i % 2 if i < 250 else 0) for i, v in enumerate(vectors)]
     rows += [(1000 + i, rows[3][1], 1) for i in range(30)]  # equal copies
     want = brute(rows)
-    assert sum(r[1] for r in want) > 1000 and len({r[2] for r in want}) > 3
+    assert sum(r[1] for r in want) > 900 and len({r[2] for r in want}) > 3
     df = spark.createDataFrame(rows, FIELDS).repartition(3)
     got = pq.near_vectors(df, fit_rows=fit_rows)
     assert sorted(map(tuple, got.collect()), key=str) == want

@@ -36,7 +36,7 @@ def test_plain_damage():
     flipped = bytearray(whole)
     flipped[starts[3]] ^= 1  # in a version line
     assert shown(bytes(flipped)) == (list("0124"), [(starts[3], len(parts[3]), "no version line")])
-    cut = whole[:starts[1] + 10] + whole[starts[2] + 15:]
+    cut = whole[:starts[1] + 3] + whole[starts[2] + 15:]
     ids, gaps = shown(cut)
     assert ids == list("034") and [g[:2] for g in gaps] == [(starts[1], len(cut) - len(parts[3]) - len(parts[4]) - starts[1])]
     assert shown(whole[:-9]) == (list("0123"), [(starts[4], len(parts[4]) - 9, "truncated")])
@@ -75,7 +75,8 @@ def test_gzip_members():
     assert ids == list("0134") and [g[0] for g in gaps] == [starts[2]]
     ids, gaps = shown(whole[:starts[3] + 25] + whole[starts[4]:])
     assert ids == list("0124") and gaps[0][0] == starts[3]
-    assert shown(whole[:-5])[0] == list("0123")
+    ids, gaps = shown(whole[:-5])  # the content is whole, the member's end is not
+    assert ids == list("01234") and gaps[0][0] == starts[4]
     one = gzip.compress(b"".join(record(bytes(random.Random(i).randbytes(3000)), i) for i in range(5)))
     assert shown(one)[0] == list("01234")
     ids, gaps = shown(one[:len(one) // 2])
