@@ -1,11 +1,12 @@
 """Near-duplicate vectors by product quantisation over inverted lists.
 
 Unit vectors go to the list of their nearest coarse centroid; the rest to it is cut into subspaces
-and coded. A vector probes every list that a partner within reach can be in: a partner lies in the
-cell of its own centroid, so the border between the two cells must be within reach, which is a plain
-test on squared distances. In a list, distances come from one table per probing vector; each stored
-vector knows the length of what its code leaves out, so no partner is missed. What passes is
-compared by its exact cosine.
+and coded. A partner in another list lies beyond the border between the two cells, so a vector
+probes the lists whose border is near, which is a plain test on squared distances. How near: of a
+step in any direction, only the part towards the border counts; ``DEVIATIONS`` standard deviations
+of that part are probed, from either partner. In a list, distances come from one table per probing
+vector; each stored vector knows the length of what its code leaves out, so the codes miss no
+partner. What passes is compared by its exact cosine.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from seekframe.session import materialise, spread
 
 SIMILARITY = 0.93
 FIT_ROWS = 8000
+DEVIATIONS = 2.8
 PARTS, CODES = 16, 64
 PART_ROWS = 2048  # stored vectors of one list that are compared in one task
 ASK_ROWS = 512
@@ -44,6 +46,17 @@ class Index:
         return np.maximum(0, (unit ** 2).sum(1)[:, None] - 2 * unit @ self.centroids.T
                           + (self.centroids ** 2).sum(1))
 
+    def step(self, similarity: float) -> float:
+        """How far towards a border partners are looked for."""
+        return math.sqrt(2 - 2 * similarity) * min(1.0, DEVIATIONS / math.sqrt(self.width))
+
+    def probed(self, unit: np.ndarray, home: np.ndarray, lists: np.ndarray,
+               similarity: float) -> np.ndarray:
+        """Whether each vector, at home in ``home``, probes the list beside it in ``lists``."""
+        own, other = self.centroids[home], self.centroids[lists]
+        excess = ((unit - other) ** 2).sum(1) - ((unit - own) ** 2).sum(1)
+        return excess <= 2 * self.step(similarity) * np.sqrt(((own - other) ** 2).sum(1)) + 1e-9
+
     def code(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals and the length of what they leave out."""
         cut = rest.reshape(len(rest), len(self.books), -1)
@@ -90,21 +103,24 @@ def fit(sample: np.ndarray, lists: int) -> Index:
     return Index(centroids, books)
 
 
-def _placed(index: Index, reach: float):
+def _placed(index: Index, similarity: float):
     """Rows for the lists: the home row of each vector and one row for each list it probes."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        apart = np.sqrt(np.maximum(0, ((index.centroids[:, None] - index.centroids) ** 2).sum(2)))
+        apart = np.sqrt(((index.centroids[:, None] - index.centroids) ** 2).sum(2))
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                part = batch.iloc[at:at + 2048]
-                squared = index.distances(units(part["v"], index.width))
+            for at in range(0, len(batch), 1024):
+                part = batch.iloc[at:at + 1024]
+                unit = units(part["v"], index.width)
+                squared = index.distances(unit)
                 home = squared.argmin(axis=1)
-                own = squared[np.arange(len(part)), home]
-                near = squared - own[:, None] <= 2 * reach * apart[home] + 1e-9
-                who, lists = np.nonzero(near)
+                # A coarse test by one matrix product, then the exact one on what it leaves.
+                excess = squared - squared.min(axis=1, keepdims=True)
+                who, lists = np.nonzero(excess <= 2 * index.step(similarity) * apart[home] + 1e-6)
+                near = index.probed(unit[who], home[who], lists, similarity)
+                who, lists = who[near], lists[near]
                 yield pd.DataFrame({
                     "label": part["label"].to_numpy()[who], "list": lists.astype(np.int32),
-                    "home": lists == home[who], "cid": part["cid"].to_numpy()[who],
+                    "own": home[who].astype(np.int32), "cid": part["cid"].to_numpy()[who],
                     "times": part["times"].to_numpy()[who],
                     "v": pd.Series(list(part["v"].to_numpy()[who]), dtype=object)})
     return rows
@@ -115,23 +131,32 @@ class _Cell:
 
     def __init__(self, index: Index, rows: pd.DataFrame, similarity: float):
         self.index, self.similarity = index, similarity
-        self.centre = index.centroids[rows["list"].iloc[0]]
+        self.list = int(rows["list"].iloc[0])
+        self.centre = index.centroids[self.list]
         self.reach = math.sqrt(2 - 2 * similarity)
         self.cid, self.times = rows["cid"].to_numpy(), rows["times"].to_numpy()
         self.unit = units(rows["v"], index.width)
         self.codes, self.left_out = index.code(self.unit - self.centre)
 
     def pairs(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``rows``, stored vector) of partners; the smaller id probes the larger one."""
+        """(row of ``rows``, stored vector) of partners. Two vectors that probe each other's lists
+        meet twice; the meeting counts that the smaller id probes."""
         cid, unit = rows["cid"].to_numpy(), units(rows["v"], self.index.width)
         table = self.index.table(unit - self.centre)
         squared = np.zeros((len(rows), len(self.cid)))
         for m in range(table.shape[1]):
             squared += table[:, m, self.codes[:, m]]
         near = np.sqrt(squared) <= self.reach + self.left_out + 1e-6
-        asks, holds = np.nonzero(near & (cid[:, None] < self.cid))
+        asks, holds = np.nonzero(near & (cid[:, None] != self.cid))
         exact = np.einsum("ij,ij->i", unit[asks], self.unit[holds]) >= self.similarity
-        return asks[exact], holds[exact]
+        asks, holds = asks[exact], holds[exact]
+        later = np.flatnonzero(cid[asks] > self.cid[holds])
+        own = rows["own"].to_numpy()[asks[later]]
+        twice = self.index.probed(self.unit[holds[later]], np.full(len(later), self.list), own,
+                                  self.similarity)
+        keep = np.ones(len(asks), dtype=bool)
+        keep[later[twice]] = False
+        return asks[keep], holds[keep]
 
 
 class _Forest:
@@ -214,7 +239,7 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
     where there is none. Extra columns are left out.
 
     The index is fitted on at most ``fit_rows`` vectors, picked by a hash; all are indexed. There
-    are about as many lists as the square root of the rows of a label. A list with more than
+    are about twice as many lists as the square root of the rows of a label. A list with more than
     ``PART_ROWS`` vectors is dealt over several tasks.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector).alias("v"),
@@ -230,8 +255,8 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
     if count:
         width = -(-longest // PARTS) * PARTS
         picked = classes.orderBy(F.xxhash64("v"), "cid").limit(fit_rows).select("v").toPandas()
-        index = fit(units(picked["v"], width), math.isqrt(count // labels) + 1)
-        found = _search(classes, index, similarity)
+        index = fit(units(picked["v"], width), 2 * math.isqrt(count // labels) + 1)
+        found = materialise(_search(classes, index, similarity), "pq-links")
     else:
         found = classes.sparkSession.createDataFrame([], "a long, b long, links long")
     degree = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
@@ -256,11 +281,11 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
 
 def _search(classes: DataFrame, index: Index, similarity: float) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema.fields}
-    fields = f"label {kinds['label']}, list int, home boolean, cid long, times long, v {kinds['v']}"
-    reach = math.sqrt(2 - 2 * similarity)
+    fields = f"label {kinds['label']}, list int, own int, cid long, times long, v {kinds['v']}"
     rows = spread(classes.select("label", "v", "cid", "times")) \
-        .mapInPandas(_placed(index, reach), fields)
-    rows = materialise(rows, "pq-lists").withColumn("_list", F.concat_ws(":", "label", "list"))
+        .mapInPandas(_placed(index, similarity), fields)
+    rows = materialise(rows, "pq-lists").withColumns({
+        "_list": F.concat_ws(":", "label", "list"), "home": F.col("list") == F.col("own")})
     large = rows.filter("home").groupBy("_list").agg(
         F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts")).filter("parts > 1")
     rows = join_lookup(rows, materialise(large, "pq-large"), "_list", "left", salts=1) \
@@ -270,7 +295,7 @@ def _search(classes: DataFrame, index: Index, similarity: float) -> DataFrame:
     stored = rows.filter("home").withColumn("part", own)
     probing = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
         .filter(~F.col("home") | (F.col("part") != own)).withColumn("home", F.lit(False))
-    names = ["label", "list", "part", "home", "cid", "times", "v"]
+    names = ["label", "list", "part", "home", "own", "cid", "times", "v"]
     dealt = stored.select(names).unionAll(probing.select(names)) \
         .repartition("label", "list", "part") \
         .sortWithinPartitions("label", "list", "part", F.desc("home"))
