@@ -149,6 +149,24 @@ def _forest(homes: np.ndarray, rest: np.ndarray, radius: int) -> list[tuple[int,
     return links
 
 
+def _spanning(pair: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+    """Of links between rows, as many as join the same fingerprints: at most one for each."""
+    if not len(pair):
+        return pair
+    _, code = np.unique(lanes[pair.ravel()], axis=0, return_inverse=True)
+    up = list(range(int(code.max()) + 1))
+    keep = []
+    for i, (a, b) in enumerate(code.reshape(-1, 2).tolist()):
+        while up[a] != a:
+            up[a] = a = up[up[a]]
+        while up[b] != b:
+            up[b] = b = up[up[b]]
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            keep.append(i)
+    return pair[keep]
+
+
 def _links(scheme: Scheme):
     """Compare the rows that meet under one key; rows come sorted by (segment, key, cell, home)."""
     names = [f"f{i}" for i in range(scheme.lanes)]
@@ -185,13 +203,13 @@ def _links(scheme: Scheme):
             pairs = _forest(block[:home], block[home:], scheme.radius)
             if pairs:
                 found.append(np.array(pairs) + begin)
-        pair = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        pair = _spanning(np.concatenate(found), lanes) if found else np.zeros((0, 2), dtype=np.int64)
         out = {}
         for side, column in (("a", 0), ("b", 1)):
             hexes = lanes[pair[:, column]].astype(">u8").tobytes().hex()
             step = 16 * scheme.lanes
             out[side] = [hexes[i:i + step] for i in range(0, len(hexes), step)]
-        return pd.DataFrame(out, dtype=object).drop_duplicates()
+        return pd.DataFrame(out, dtype=object)
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None

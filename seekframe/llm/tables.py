@@ -58,8 +58,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``(node, root)``: the smallest node reachable from each node of ``edges(a, b)``.
 
     Alternating star contraction: every round hangs each node's neighbours on its smallest
-    neighbour, first those above the node, then those below it. Rounds grow with the logarithm of
-    the longest path. Each round is written to the shared folder, so nothing is kept on executors.
+    neighbour, first those below the node, then those above it. The first half needs each edge only
+    one way round and merges many. Rounds grow with the logarithm of the longest path. Each round is written to the shared folder, so nothing is kept on executors.
     Nodes without an edge are not listed.
     """
     def above(e: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     current = materialise(ordered(edges.select("a", "b")), label)
     state = mark(current)
     while state[0]:
-        current = materialise(ordered(below(ordered(above(current)))), label)
+        current = materialise(ordered(above(ordered(below(current)))), label)
         state, before = mark(current), state
         if state == before:
             break
