@@ -42,8 +42,8 @@ def term_stats(index: DataFrame, id_col: str) -> DataFrame:
 BUCKETS = 256
 
 
-def _bucket(token: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+def _bucket(token: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(token), buckets).cast("int")
 
 
 def write_index(index: DataFrame, id_col: str, path: str, buckets: int = BUCKETS) -> None:
@@ -51,29 +51,36 @@ def write_index(index: DataFrame, id_col: str, path: str, buckets: int = BUCKETS
 
     A lookup reads the folder of its bucket and there the row groups that hold the token. The
     rebalance splits a bucket that is too big for one task, so a frequent token covers several
-    files; it needs no sampling pass, which would cut all texts twice.
+    files; it needs no sampling pass, which would cut all texts twice. The number of buckets is
+    part of the folder names, so a lookup needs no argument for it, and postings of new rows may be
+    added with another number.
     """
-    placed = index.withColumn("_bucket", _bucket(F.col("token"), buckets))
+    placed = index.withColumn("_buckets", F.lit(buckets)) \
+        .withColumn("_bucket", _bucket(F.col("token"), F.lit(buckets)))
     placed.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", "token", id_col) \
-        .write.partitionBy("_bucket").parquet(path)
+        .write.mode("append").partitionBy("_buckets", "_bucket").parquet(path)
 
 
-def read_index(spark: SparkSession, path: str, terms: list[str] | None = None,
-               buckets: int = BUCKETS) -> DataFrame:
+def read_index(spark: SparkSession, path: str, terms: list[str] | None = None) -> DataFrame:
     """Stored postings, or only those of ``terms``: other buckets are not opened."""
     index = spark.read.parquet(path)
     if terms is not None:
-        wanted = spark.range(1).select(
-            F.transform(F.array(*[F.lit(t) for t in terms]),
-                        lambda t: _bucket(t, buckets))).head()[0] if terms else []
-        index = index.filter(F.col("_bucket").isin(wanted) & F.col("token").isin(terms))
-    return index.drop("_bucket")
+        terms = folded(terms)
+        held = [F.col("_bucket") == _bucket(F.lit(t), F.col("_buckets")) for t in terms]
+        index = index.filter(reduce(Column.__or__, held, F.lit(False)) & F.col("token").isin(terms))
+    return index.drop("_bucket", "_buckets")
+
+
+def folded(terms: list[str]) -> list[str]:
+    """Terms as tokens are stored: lower case, without blanks around, each once."""
+    return list(dict.fromkeys(t.strip().lower() for t in terms))
 
 
 def match_terms(index: DataFrame, id_col: str, terms: list[str],
                 require_all: bool = False) -> DataFrame:
     """Documents that hold any (or all) of the tokens, with ``_score``: their occurrences, or the
-    sum of weights where the index carries them."""
+    sum of weights where the index carries them. Case does not matter."""
+    terms = folded(terms)
     hits = index.filter(F.col("token").isin(terms))
     amount = F.sum("weight") if "weight" in index.columns else F.count("*")
     found = hits.groupBy(id_col, "token").agg(amount.alias("_amount")).groupBy(id_col).agg(

@@ -76,18 +76,29 @@ class StagedLoad:
         batches = self._open()
         position = F.col(arrival) if arrival else F.monotonically_increasing_id()
         rows = batch.withColumn("_arrival", F.struct(
-            F.lit(len(batches)).alias("batch"), position.cast("long").alias("position")))
+            F.lit(len(batches)).alias("batch"), position.alias("position")))
         batches.append(rows.drop(arrival) if arrival else rows)
         return self
 
     def commit(self) -> DataFrame:
         """The table after all batches."""
-        batches = self._open()
-        self._batches = None
-        if not batches:
-            return self._base
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
-        return upsert(self._base, rows, self._key, self._id, arrival="_arrival")
+        return reduce(lambda base, rows: upsert(base, rows, self._key, self._id, "_arrival"),
+                      self.take(), self._base)
+
+    def take(self) -> list[DataFrame]:
+        """End the load and give its rows with ``_arrival``, to be loaded in this order.
+
+        Batches in a row that have the same columns are one; others stay apart, so a column that a
+        batch lacks keeps its value.
+        """
+        batches, self._batches = self._open(), None
+        out: list[DataFrame] = []
+        for batch in batches:
+            if out and sorted(batch.dtypes) == sorted(out[-1].dtypes):
+                out[-1] = out[-1].unionByName(batch)
+            else:
+                out.append(batch)
+        return out
 
     def rollback(self) -> DataFrame:
         """The table as it was; nothing has been written."""

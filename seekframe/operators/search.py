@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import matches
-from seekframe.functions.tokens import Tokenizer, add_once, with_tokens, word_ngrams, words
+from seekframe.functions.tokens import Tokenizer, add_once, tokens, with_tokens, word_ngrams, words
 from seekframe.operators.skew import BROADCAST_ROWS, join_lookup
 
 
@@ -33,7 +33,21 @@ def shortest_span(token_list: Column, terms: list[str]) -> Column:
     null if a term is missing. One pass that remembers where each term was last seen."""
     terms = list(dict.fromkeys(terms))
     placed = F.transform(token_list, lambda t, at: F.struct(t.alias("t"), at.alias("at")))
-    wanted = F.filter(placed, lambda p: p["t"].isin(terms))
+    return _shortest(F.filter(placed, lambda p: p["t"].isin(terms)), terms)
+
+
+def _run_places(token_list: Column, runs: list[list[str]]) -> Column:
+    """Where each run of tokens starts, in order, as (number of the run, place)."""
+    def starts(number: int, run: list[str]) -> Column:
+        whole = F.array(*[F.lit(r) for r in run])
+        found = F.transform(token_list, lambda t, at: F.when(
+            F.slice(token_list, at + 1, len(run)) == whole,
+            F.struct(at.alias("at"), F.lit(str(number)).alias("t"))))
+        return F.filter(found, lambda p: p.isNotNull())
+    return F.array_sort(F.concat(*[starts(i, run) for i, run in enumerate(runs)]))
+
+
+def _shortest(wanted: Column, terms: list[str]) -> Column:
     names = [f"l{i}" for i in range(len(terms))]
     missing = F.lit(None).cast("int")
     start = F.struct(*[missing.alias(n) for n in names], missing.alias("best"))
@@ -55,14 +69,21 @@ def near(df: DataFrame, column: str, text: str, distance: int = 10,
          tokenizer: str | Tokenizer = "TokenBigram") -> DataFrame:
     """Rows where all blank-separated terms stand within ``distance`` tokens; ``_span`` is the
     smallest such distance. Works row by row, without a shuffle."""
-    terms = text.lower().split()
+    terms = list(dict.fromkeys(text.lower().split()))
     if not terms:
         raise ValueError("near needs at least one term")
+    # A term is cut by the rules of the text; one of several tokens is looked for as their run.
+    runs = df.sparkSession.range(1).select(
+        F.array(*[tokens(F.lit(t), tokenizer) for t in terms])).head()[0]
     rows = df
-    for term in dict.fromkeys(terms):  # cheap test before the text is cut into tokens
+    for term in terms:  # cheap test before the text is cut into tokens
         rows = rows.filter(matches(F.col(column), term))
     rows = with_tokens(rows, column, tokenizer)
-    spans = add_once(rows, "_span", shortest_span(F.col("_tokens"), terms)).drop("_tokens")
+    if all(len(run) == 1 for run in runs):
+        span = shortest_span(F.col("_tokens"), [run[0] for run in runs])
+    else:
+        span = _shortest(_run_places(F.col("_tokens"), runs), [str(i) for i in range(len(runs))])
+    spans = add_once(rows, "_span", span).drop("_tokens")
     return spans.filter(F.col("_span") <= distance)
 
 
@@ -78,15 +99,17 @@ def similar(df: DataFrame, column: str, text: str, threshold: float = 0.1) -> Da
 
 
 def term_extract(df: DataFrame, id_col: str, column: str, vocabulary: DataFrame,
-                 term_col: str = "_key", longest: int = 3,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Vocabulary terms of up to ``longest`` words that occur in each text, with their counts.
+                 term_col: str = "_key", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Vocabulary terms that occur in each text, with their counts, as their words joined by blanks.
 
-    Word runs meet the vocabulary before anything is counted, so only real terms are shuffled. A
+    Terms are cut into words like the texts, so case and signs do not matter; the longest tells how
+    long word runs are formed. Word runs meet the vocabulary before anything is counted, so only real terms are shuffled. A
     big vocabulary is joined on (term, salt), which also spreads the counting of a frequent term.
     """
     listed = add_once(df.select(id_col, column), "_words", words(F.col(column)))
-    grams = listed.select(id_col, F.explode(word_ngrams(F.col("_words"), longest)).alias("term"))
-    terms = vocabulary.select(F.col(term_col).alias("term")).distinct()
+    named = vocabulary.select(words(F.col(term_col)).alias("_words"))
+    longest = named.agg(F.max(F.size("_words"))).head()[0] or 1
+    grams = listed.select(id_col, F.explode(word_ngrams(F.col("_words"), max(1, longest))).alias("term"))
+    terms = named.select(F.array_join("_words", " ").alias("term")).filter("term <> ''").distinct()
     found = join_lookup(grams, terms, "term", broadcast_rows=broadcast_rows)
     return found.groupBy(id_col, "term").agg(F.count("*").alias("n"))

@@ -50,10 +50,11 @@ def with_next_submit(events: DataFrame, chunk_rows: int = CHUNK_ROWS,
     """Add ``_next``: item and time of the next submit of the sequence in arrival order.
 
     A sequence with more than ``hot_share`` of all events is cut into chunks of at most
-    ``chunk_rows`` arrival ids. Within a chunk a window finds the next submit; where the chunk has
+    ``chunk_rows`` arrival ids. Events without a sequence have no next submit and are left out. Within a chunk a window finds the next submit; where the chunk has
     none left, the first submit of a later chunk is taken from a summary with one row per chunk.
     """
     groups = ["sequence", "_chunk"]
+    events = events.filter(F.col("sequence").isNotNull())
     marked = chunk_hot_keys(events, "sequence", F.col("_id"), chunk_rows, hot_share)
     submit = F.when(_submitted(), F.struct("item", "time"))
     # Newest first, the next submit is the last one seen: a running frame, linear in the group.
@@ -211,7 +212,9 @@ def _spellings(df: DataFrame, column: str, longest: int) -> DataFrame:
     once = short.withColumn("_once", _without_one(F.col(column)))
     all_of_them = F.concat(F.array(F.col(column)), F.col("_once"),
                            F.flatten(F.transform("_once", _without_one)))
-    hashes = F.transform(F.array_distinct(all_of_them), lambda s: F.xxhash64(s))
+    # Close texts share a bigram, and then a spelling of two characters or more.
+    longer = F.filter(F.array_distinct(all_of_them), lambda s: F.length(s) >= 2)
+    hashes = F.transform(longer, lambda s: F.xxhash64(s))
     return once.withColumn("_meet", F.explode(hashes)).drop("_once")
 
 

@@ -127,8 +127,8 @@ def index_reverse_ref_rows(t):
            FROM ({sql.postings('documents', 'doc_id', _TOKENS)}) JOIN documents USING (doc_id)
            WHERE token IN ('und', 'für', 'the') GROUP BY doc_id, lang""")
 def index_match(t):
-    index = ix.build_postings(t.texts, "doc_id", ["text"])
-    hits = ix.match_terms(index, "doc_id", ["und", "für", "the"])
+    terms = ["und", "Für", "the"]
+    hits = ix.match_terms(ix.read_index(t.spark, t.stored_index, terms), "doc_id", terms)
     return t.documents.select("doc_id", "lang").join(hits, "doc_id")
 
 
@@ -138,5 +138,5 @@ def index_match(t):
            WHERE a.token = 'of' AND b.token = 'the' AND b.position = a.position + 1
            GROUP BY doc_id""")
 def index_phrase(t):
-    index = ix.build_postings(t.texts, "doc_id", ["text"])
-    return ix.match_phrase(index, "doc_id", ix.phrase_tokens(t.documents, "Of the"))
+    phrase = ix.phrase_tokens(t.documents, "Of the")
+    return ix.match_phrase(ix.read_index(t.spark, t.stored_index, phrase), "doc_id", phrase)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.operators import suggest
-from seekframe.session import materialise, spread
+from seekframe.operators.index import build_postings, write_index
+from seekframe.session import materialise, scratch_path, spread
 
 PAIR_DAY = 86_400  # events of one user are hours apart, so pairs are learned over a day
 
@@ -28,6 +29,13 @@ class Tables:
         """The documents, for queries that cut every text into tokens."""
         return spread(self.__getattr__("documents"))
 
+    @cached_property
+    def stored_index(self) -> str:
+        """Where the postings of the documents are stored, written once as an index job would."""
+        path = scratch_path(self.spark, "index")
+        write_index(build_postings(self.texts, "doc_id", ["text"]), "doc_id", path)
+        return path
+
     @cached_property
     def log(self) -> DataFrame:
         """The event table as a query log: purchases are submits, items come from ``props``."""

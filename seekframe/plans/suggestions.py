@@ -211,5 +211,5 @@ def suggest_batch_names(t):
     items, pairs = t.catalogue
     asked = pairs.select(C("pre").alias("query")).union(
         items.select(F.replace("_key", F.lit("e"), F.lit("a")))).union(
-        items.select(F.substring("_key", 2, 1000)))
+        items.select(F.expr("substring(_key, 2)")))
     return sg.suggest_batch(items, pairs, asked, top=5, frequency_threshold=10)

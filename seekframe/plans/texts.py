@@ -139,7 +139,6 @@ def match_similar(t):
 
 
 _VOCABULARY = f"""SELECT DISTINCT w AS term FROM (SELECT unnest({sql.words('text')}) AS w FROM benchmark)
-                  WHERE length(w) >= 4
                   UNION SELECT DISTINCT lower(p_name) FROM part"""
 
 
@@ -153,8 +152,7 @@ _VOCABULARY = f"""SELECT DISTINCT w AS term FROM (SELECT unnest({sql.words('text
            SELECT doc_id, term, count(*) AS n FROM grams JOIN vocabulary USING (term)
            GROUP BY doc_id, term""")
 def term_extract(t):
-    single = t.benchmark.select(F.explode(words(C("text"))).alias("_key")) \
-        .filter(F.length("_key") >= 4)
+    single = t.benchmark.select(F.explode(words(C("text"))).alias("_key"))
     vocabulary = single.union(t.part.select(F.lower("p_name"))).distinct()
     return search.term_extract(t.texts, "doc_id", "text", vocabulary)
 

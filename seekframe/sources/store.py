@@ -99,8 +99,10 @@ class StagedTableLoad:
         self._load.load(batch, arrival)
         return self
 
-    def commit(self) -> None:
-        self._store.replace(self._name, self._load.commit())
+    def commit(self) -> int:
+        """Load all batches into the table as it is now; returns the number of rows given."""
+        return sum(self._store.load(self._name, rows, arrival="_arrival")
+                   for rows in self._load.take())
 
     def rollback(self) -> None:
         self._load.rollback()

@@ -24,6 +24,7 @@ def table(df):
 
 @pytest.fixture
 def small(spark):
+    # Rows whose results the goldens of loads and deletes are stated for.
     return spark.createDataFrame([(1, "key1", "foo"), (2, "key2", "bar"), (3, "key3", "baz")],
                                  "_id long, _key string, name string")
 
@@ -216,3 +217,31 @@ def test_hot_keys(spark):
     df = spark.range(0, 3000).select(
         F.when(C("id") % 3 == 0, F.lit(-1)).otherwise(C("id")).alias("k"))
     assert [r["k"] for r in hot_keys(df, "k", 0.1).collect()] == [-1]
+
+
+def test_staged_load_reads_the_table_at_commit(spark, tmp_path):
+    store, name = TableStore(spark, str(tmp_path)), f"late_{uuid.uuid4().hex}"
+    store.create_all({name: sc.declare({"name": sc.Field(), "age": sc.Field("Int32")})})
+    row = lambda **values: spark.createDataFrame([tuple(values.values())], list(values))
+    store.load(name, row(_key="k1", name="a"))
+    staged = store.staged(name).load(row(_key="k2", name="b")).load(row(_key="k2", age=9))
+    store.load(name, row(_key="k3", name="c"))
+    assert staged.commit() == 2
+    assert sorted((r["_key"], r["name"], r["age"]) for r in store.scan(name).collect()) == [
+        ("k1", "a", 0), ("k2", "b", 9), ("k3", "c", 0)]
+
+
+def test_staged_load_without_key(spark, tmp_path):
+    store, name = TableStore(spark, str(tmp_path)), f"plain_{uuid.uuid4().hex}"
+    store.create_all({name: sc.declare({"name": sc.Field()}, key=None)})
+    batches = [spark.createDataFrame([(n,)], "name string") for n in ("a", "b")]
+    assert store.staged(name).load(batches[0]).load(batches[1]).commit() == 2
+    assert [(r["_id"], r["name"]) for r in store.scan(name).orderBy("_id").collect()] == [(1, "a"), (2, "b")]
+
+
+def test_staged_arrival_keeps_its_type(spark):
+    base = spark.createDataFrame([], SMALL)
+    rows = spark.sql("""SELECT 'k' AS _key, 'early' AS name, timestamp '2020-01-01 00:00:00.2' AS at
+                        UNION ALL SELECT 'k', 'late', timestamp '2020-01-01 00:00:00.7'
+                        UNION ALL SELECT 'k', 'first', timestamp '2020-01-01 00:00:00.1'""")
+    assert [r["name"] for r in mutate.StagedLoad(base).load(rows, "at").commit().collect()] == ["late"]
