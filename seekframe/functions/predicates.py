@@ -78,10 +78,10 @@ def bit_not(df: DataFrame, col: Column) -> Column:
     return ~col if _both_boolean(df, col) else F.bitwise_not(col)
 
 
-def shift_left(col: Column, bits: int) -> Column:
-    return F.shiftleft(col, bits)
+def shift_left(col: Column, bits: int | Column) -> Column:
+    return F.call_function("shiftleft", col, literal(bits).cast("int"))
 
 
-def shift_right(col: Column, bits: int) -> Column:
+def shift_right(col: Column, bits: int | Column) -> Column:
     """Unsigned shift: zeros come in from the left."""
-    return F.shiftrightunsigned(col, bits)
+    return F.call_function("shiftrightunsigned", col, literal(bits).cast("int"))

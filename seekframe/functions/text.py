@@ -21,11 +21,18 @@ def normalise(col: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def normalise_nfkc(text: pd.Series) -> pd.Series:
-    """Compatibility composition and lower case; Spark has no built-in for the former."""
+def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFKC", s).lower(), na_action="ignore")
 
 
+def normalise_nfkc(text: str | Column) -> Column:
+    """Compatibility composition and lower case; Spark has no built-in for the former. Only texts
+    with other than ASCII characters are sent to Python."""
+    col = F.col(text) if isinstance(text, str) else text
+    wide = F.octet_length(col) > F.length(col)
+    return F.when(wide, _nfkc(F.when(wide, col))).otherwise(F.lower(col))
+
+
 def _folded(col: Column, folded: bool) -> Column:
     return col if folded else F.lower(col)
 

@@ -9,8 +9,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seekframe.functions.tokens import Tokenizer, postings, tokens
+from seekframe.operators.skew import join_lookup
 
 
 def build_postings(df: DataFrame, id_col: str, columns: list[str] | dict[str, int],
@@ -116,11 +118,25 @@ def match_phrase(index: DataFrame, id_col: str, phrase: list[str]) -> DataFrame:
     return starts.groupBy(id_col).agg(F.count("*").cast("int").alias("_score"))
 
 
-def reverse_refs(df: DataFrame, ref_col: str) -> DataFrame:
-    """How many rows point to each key through a reference column."""
-    return df.groupBy(F.col(ref_col).alias("_key")).agg(F.count("*").alias("_nsubrecs"))
+def _is_vector(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.ArrayType)
 
 
-def rows_pointing_to(df: DataFrame, ref_col: str, keys: DataFrame, key: str = "_key") -> DataFrame:
-    """The rows whose reference is one of ``keys``."""
-    return df.join(keys.select(F.col(key).alias(ref_col)).distinct(), ref_col, "left_semi")
+def reverse_refs(df: DataFrame, ref_col: str) -> DataFrame:
+    """How many rows point to each key through a reference column. A row that names a key several
+    times in a vector points to it once."""
+    target = F.explode(F.array_distinct(ref_col)) if _is_vector(df, ref_col) else F.col(ref_col)
+    return df.select(target.alias("_key")).groupBy("_key").agg(F.count("*").alias("_nsubrecs"))
+
+
+def rows_pointing_to(df: DataFrame, ref_col: str, keys: DataFrame, key: str = "_key",
+                     id_col: str = "_id") -> DataFrame:
+    """The rows whose reference, or any entry of a vector of references, is one of ``keys``.
+    ``id_col`` is read for vectors only."""
+    wanted = keys.select(F.col(key).alias("_ref")).distinct()
+    if not _is_vector(df, ref_col):
+        return join_lookup(df.withColumn("_ref", F.col(ref_col)), wanted, "_ref", "left_semi") \
+            .drop("_ref")
+    entries = df.select(id_col, F.explode(F.array_distinct(ref_col)).alias("_ref"))
+    hits = join_lookup(entries, wanted, "_ref", "left_semi").select(id_col).distinct()
+    return join_lookup(df, hits, id_col, "left_semi", salts=1)

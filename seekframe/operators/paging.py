@@ -1,7 +1,7 @@
 """Sorting, limit, offset, slices and totals.
 
-Sort keys are column names, ``-name`` for descending. ``tie`` names a unique column that makes the
-order total. Small edges of an order (the first or last rows, counted from either end) come from a
+Sort keys are column names, ``-name`` for descending. ``tie`` names a column, or several that are
+unique together, and makes the order total. Small edges of an order (the first or last rows, counted from either end) come from a
 top-k; what lies beyond ``TOP_ROWS`` uses dense ranks. No plan here sends the whole table through
 one task.
 """
@@ -14,37 +14,49 @@ from pyspark.sql import functions as F
 from seekframe.operators.rows import assign_row_id
 from seekframe.operators.skew import join_lookup
 
-TOP_ROWS = 100_000
+TOP_ROWS = 5_000  # every task of a scan may send that many rows to one
 
+Tie = str | list[str]
 
-def order(keys: list[str], tie: str | None = "_id", reverse: bool = False) -> list[Column]:
+
+def _ties(tie: Tie | None) -> list[str]:
+    return [tie] if isinstance(tie, str) else list(tie or [])
+
+
+def order(keys: list[str], tie: Tie | None = "_id", reverse: bool = False) -> list[Column]:
     """Sort columns for the keys, then ``tie``; ``reverse`` flips all of them."""
     names = [(k.removeprefix("-"), k.startswith("-")) for k in keys]
-    if tie and tie not in [name for name, _ in names]:
-        names.append((tie, False))
+    sorted_by = [name for name, _ in names]
+    names += [(name, False) for name in _ties(tie) if name not in sorted_by]
     return [F.desc(name) if descending != reverse else F.asc(name) for name, descending in names]
 
 
-def sort(df: DataFrame, *keys: str, tie: str | None = "_id", reverse: bool = False) -> DataFrame:
+def sort(df: DataFrame, *keys: str, tie: Tie | None = "_id", reverse: bool = False) -> DataFrame:
     return df.orderBy(*order(list(keys), tie, reverse))
 
 
-def _without(df: DataFrame, rows: DataFrame, tie: str) -> DataFrame:
-    # ``rows`` comes from a top-k of at most TOP_ROWS rows, so its ids may be broadcast.
-    return df.join(F.broadcast(rows.select(tie)), tie, "left_anti")
+def _tied(df: DataFrame, tie: Tie) -> DataFrame:
+    """``df`` with its tie values as one column, so that nulls among them are values too."""
+    return df.withColumn("_tie", F.struct(*_ties(tie)))
+
+
+def _without(df: DataFrame, rows: DataFrame, tie: Tie) -> DataFrame:
+    cut = _tied(rows, tie).select("_tie")
+    return join_lookup(_tied(df, tie), cut, "_tie", "left_anti", salts=1).drop("_tie")
 
 
-def _where_rank(df: DataFrame, keys: list[str], tie: str, inside: Column) -> DataFrame:
+def _where_rank(df: DataFrame, keys: list[str], tie: Tie, inside: Column) -> DataFrame:
     """The rows whose dense ``_rank`` (from 0) is ``inside``. Only sort columns are placed and
     written; ids are unique, so the rows are found by them."""
-    names = list(dict.fromkeys([*(k.removeprefix("-") for k in keys), tie]))
+    names = list(dict.fromkeys([*(k.removeprefix("-") for k in keys), *_ties(tie)]))
     ranks = assign_row_id(df.select(*names), order(keys, tie), column="_rank", start=0)
-    kept = ranks.filter(inside).select(tie)
-    return join_lookup(df, kept, tie, "left_semi", salts=1).orderBy(*order(keys, tie))
+    kept = _tied(ranks.filter(inside), tie).select("_tie")
+    return join_lookup(_tied(df, tie), kept, "_tie", "left_semi", salts=1).drop("_tie") \
+        .orderBy(*order(keys, tie))
 
 
 def page(df: DataFrame, keys: list[str], limit: int | None = None, offset: int = 0,
-         tie: str = "_id", top_rows: int = TOP_ROWS) -> DataFrame:
+         tie: Tie = "_id", top_rows: int = TOP_ROWS) -> DataFrame:
     """Rows ``offset`` … of the order, at most ``limit`` of them.
 
     A negative offset counts from the end; a negative limit means ``total + limit + 1`` rows.
@@ -74,14 +86,14 @@ def page(df: DataFrame, keys: list[str], limit: int | None = None, offset: int =
     return _where_rank(df, keys, tie, inside)
 
 
-def rank_page(rows: DataFrame, keys: list[str], column: str = "rank", tie: str = "_id") -> DataFrame:
+def rank_page(rows: DataFrame, keys: list[str], column: str = "rank", tie: Tie = "_id") -> DataFrame:
     """Number the rows of a page from 1. For pages of bounded size: they fit in one task."""
     return rows.withColumn(column, F.row_number().over(
         Window.orderBy(*order(keys, tie))).cast("long"))
 
 
 def slice_rows(df: DataFrame, keys: list[str], start: int = 0, stop: int | None = None,
-               step: int = 1, tie: str = "_id", top_rows: int = TOP_ROWS) -> DataFrame:
+               step: int = 1, tie: Tie = "_id", top_rows: int = TOP_ROWS) -> DataFrame:
     """Every ``step``-th row from ``start`` up to ``stop`` of the order (non-negative bounds)."""
     if start < 0 or step < 1 or (stop is not None and stop < 0):
         raise ValueError("slices count from the start and go forward")

@@ -44,20 +44,32 @@ def drilldown_ref(df: DataFrame, column: str, target: DataFrame, key: str, value
 def missing_keys(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
                  order_col: str | None = None) -> DataFrame:
     """Distinct non-null values of ``column`` that ``target`` does not have yet; ``_arrival`` is
-    where each shows up first, by ``order_col`` or by the position in the scan."""
+    where each shows up first, by ``order_col`` or by the position in the scan. Entries of a vector
+    count in their order."""
     place = F.col(order_col) if order_col else F.monotonically_increasing_id()
-    wanted = df.select(F.col(column).alias(key), place.alias("_arrival")) \
+    if isinstance(df.schema[column].dataType, T.ArrayType):
+        placed = df.select(place.alias("_row"), F.posexplode(column).alias("_at", key)) \
+            .withColumn("_arrival", F.struct("_row", "_at"))
+    else:
+        placed = df.select(F.col(column).alias(key), place.alias("_arrival"))
+    wanted = placed.withColumn(key, F.col(key).cast(target.schema[key].dataType)) \
         .filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("_arrival").alias("_arrival"))
     return wanted.join(target.select(key), key, "left_anti")
 
 
-def create_missing(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
-                   id_col: str = "_id", order_col: str | None = None) -> DataFrame:
-    """``target`` plus one row per missing reference, with the next ids in order of appearance and
+def missing_rows(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
+                 id_col: str = "_id", order_col: str | None = None) -> DataFrame:
+    """One row of ``target`` per missing reference, with the next ids in order of appearance and
     type defaults in all other columns."""
     missing = missing_keys(df, column, target, key, order_col)
     next_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
     rows = assign_row_id(missing, [F.col("_arrival")], id_col, next_id).drop("_arrival")
     absent = [f for f in target.schema.fields if f.name not in (key, id_col)]
     rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
-    return target.unionByName(fill_defaults(rows, [f.name for f in absent]))
+    return fill_defaults(rows, [f.name for f in absent]).select(*target.columns)
+
+
+def create_missing(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
+                   id_col: str = "_id", order_col: str | None = None) -> DataFrame:
+    """``target`` plus its :func:`missing_rows`."""
+    return target.unionByName(missing_rows(df, column, target, key, id_col, order_col))

@@ -14,7 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seekframe.operators.skew import HOT_SHARE, chunk_hot_keys, fits_broadcast, join_lookup
+from seekframe.operators.skew import (
+    HOT_SHARE,
+    best_of_key,
+    chunk_hot_keys,
+    fits_broadcast,
+    join_lookup,
+)
+from seekframe.session import materialise
 
 TYPES = ("complete", "correct", "suggest")
 FREQUENCY_THRESHOLD = 100
@@ -119,9 +126,7 @@ def last_events(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
     The row-number filter is applied before the shuffle too, so a long sequence sends no more than
     ``last`` rows per task.
     """
-    newest = Window.partitionBy("sequence").orderBy(F.desc("_id"))
-    return events.withColumn("_back", F.row_number().over(newest)) \
-        .filter(F.col("_back") <= last).withColumn("_back", F.col("_back").cast("long"))
+    return best_of_key(events, ["sequence"], [F.desc("_id")], last, "_back")
 
 
 def sequence_table(events: DataFrame, last: int = LAST_EVENTS) -> DataFrame:
@@ -176,15 +181,16 @@ def _up_to(n: Column) -> Column:
 
 def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
     """Submitted items that start with one of ``queries`` (all or some of those asked), by key or
-    by any reading: prefix = query, an equi-join. No prefix is longer than the longest query."""
+    by any reading: prefix = query, an equi-join. Only prefixes as long as some query are made."""
     names = F.array(F.col("_key"))
     if "kana" in items.columns:
         names = F.concat(names, F.coalesce(F.col("kana"), F.array().cast("array<string>")))
-    longest = F.coalesce(asked.queries.agg(F.max(F.length("query"))).scalar(), F.lit(0))
+    # One number per distinct length of a query.
+    lengths = asked.queries.agg(F.collect_set(F.length("query"))).scalar()
     named = items.filter(F.col("freq2") > 0).select(
-        "_key", "freq2", names.alias("_names"), longest.alias("_longest"))
+        "_key", "freq2", names.alias("_names"), lengths.alias("_lengths"))
     starts = F.flatten(F.transform("_names", lambda name: F.transform(
-        _up_to(F.least(F.length(name), F.col("_longest"))),
+        F.filter("_lengths", lambda size: (size > 0) & (size <= F.length(name))),
         lambda size: F.substring(name, F.lit(1), size))))
     prefixes = named.select("_key", "freq2", F.explode(F.array_distinct(starts)).alias("query"))
     return asked.join(prefixes, queries) \
@@ -335,7 +341,7 @@ def related(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
     return worded.filter(F.col("_freq") >= frequency_threshold)
 
 
-def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame,
+def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
                   types: tuple[str, ...] = TYPES, top: int | None = None,
                   frequency_threshold: int = FREQUENCY_THRESHOLD,
                   conditional_probability_threshold: float | None = None,
@@ -346,7 +352,11 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame,
     unknown = [t for t in types if t not in TYPES]
     if unknown:
         raise KeyError(unknown[0])
-    shared = (items, pairs, Asked.of(queries), frequency_threshold, conditional_probability_threshold)
+    if not isinstance(queries, Asked):
+        # Every way of answering reads the queries, some twice; they are worked out once.
+        asked = materialise(queries.select("query").distinct(), "asked")
+        queries = Asked(asked, fits_broadcast(asked))
+    shared = (items, pairs, queries, frequency_threshold, conditional_probability_threshold)
     made = {
         "complete": lambda: complete(*shared, prefix_search),
         "correct": lambda: correct(*shared, similar_search),
@@ -363,9 +373,7 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame,
     scored = hits.select("query", "type", "_key", F.col("_freq").cast("long").alias("_score"))
     if top is None:
         return scored
-    best = Window.partitionBy("query", "type").orderBy(F.desc("_score"), "_key")
-    return scored.withColumn("rank", F.row_number().over(best)) \
-        .filter(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
+    return best_of_key(scored, ["query", "type"], [F.desc("_score"), F.asc("_key")], top, "rank")
 
 
 def suggest(items: DataFrame, pairs: DataFrame, query: str,
@@ -388,4 +396,4 @@ def suggest(items: DataFrame, pairs: DataFrame, query: str,
     if "boost" in items.columns:
         # Boosted items are few and may be the target of a pair.
         wanted = wanted | (F.col("boost") != 0)
-    return suggest_batch(items.filter(wanted), mine, queries, types, **options)
+    return suggest_batch(items.filter(wanted), mine, Asked(queries, True), types, **options)

@@ -177,6 +177,14 @@ def shift_right_unsigned(t):
     return _parts(t, lambda df: p.shift_right(C("p_size") - 25, 2))
 
 
+@query("""SELECT p_partkey, CAST(CAST(p_size AS BIGINT) << (p_partkey % 5) AS INTEGER) AS bits,
+                 CAST((CAST(p_size - 25 AS BIGINT) & 4294967295) >> (1 + p_partkey % 5) AS INTEGER) AS flag
+          FROM part""")
+def shift_by_column(t):
+    return t.part.select("p_partkey", p.shift_left(C("p_size"), C("p_partkey") % 5).alias("bits"),
+                         p.shift_right(C("p_size") - 25, C("p_partkey") % 5 + 1).alias("flag"))
+
+
 # --- column updates -----------------------------------------------------------------------------
 
 def _update(op, operand, where=None):
@@ -250,9 +258,9 @@ def query_terms_and(t):
     return _docs(t.documents.filter(tx.matches(C("text"), "und") & tx.matches(C("text"), "para")))
 
 
-@query(_DOCS + "contains(lower(text), 'license') OR contains(lower(text), 'schaft')")
+@query(_DOCS + "contains(lower(text), 'license') OR contains(lower(text), 'ness')")
 def query_terms_or(t):
-    return _docs(t.documents.filter(tx.matches(C("text"), "license") | tx.matches(C("text"), "schaft")))
+    return _docs(t.documents.filter(tx.matches(C("text"), "license") | tx.matches(C("text"), "ness")))
 
 
 @query(_DOCS + "contains(lower(text), 'of the')")

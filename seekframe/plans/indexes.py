@@ -123,6 +123,24 @@ def index_reverse_ref_rows(t):
                                "c_custkey")
 
 
+@query("""SELECT l_partkey AS _key, count(DISTINCT l_orderkey) AS _nsubrecs
+          FROM lineitem GROUP BY l_partkey""")
+def index_reverse_vector(t):
+    return ix.reverse_refs(_orders_with_parts(t), "parts")
+
+
+@query("""SELECT DISTINCT l_orderkey FROM lineitem
+          WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 48)""")
+def index_reverse_vector_rows(t):
+    large = t.part.filter(C("p_size") > 48)
+    return ix.rows_pointing_to(_orders_with_parts(t), "parts", large, "p_partkey", "l_orderkey") \
+        .select("l_orderkey")
+
+
+def _orders_with_parts(t):
+    return t.lineitem.groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("parts"))
+
+
 @query(f"""SELECT doc_id, lang, CAST(count(*) AS INTEGER) AS _score
            FROM ({sql.postings('documents', 'doc_id', _TOKENS)}) JOIN documents USING (doc_id)
            WHERE token IN ('und', 'für', 'the') GROUP BY doc_id, lang""")

@@ -130,6 +130,39 @@ def suggest_all_types(t):
     return _one(t.learned, "7", sg.TYPES, frequency_threshold=2, similar_search=False)
 
 
+_RING = f"""{_NAMES} SELECT 'ring' AS query, 'complete' AS type, _key, freq2 + 1 AS _score
+           FROM catalogue WHERE freq2 + 1 >= 10 AND (starts_with(_key, 'ring')
+               OR len(list_filter(string_split(lower(_key), ' '),
+                                  lambda x: starts_with(x, 'ring'))) > 0)
+           UNION ALL SELECT 'ring', 'correct', _key, freq2 FROM catalogue
+           WHERE freq2 >= 10 AND levenshtein(_key, 'ring') <= 2 AND _key <> 'ring'
+               AND {_shared('_key', "'ring'")}
+           UNION ALL SELECT pre, 'suggest', post, freq2 FROM related
+           WHERE pre = 'ring' AND freq2 >= 10"""
+
+
+def _ring(t):
+    items, pairs = t.catalogue
+    return _one((items.drop("boost"), pairs), "ring", sg.TYPES, frequency_threshold=10)
+
+
+@query(_RING)
+def suggest_all_types_names(t):
+    return _ring(t)
+
+
+@query(f"""SELECT type, _key, _score FROM ({_RING})
+           ORDER BY _score DESC, type, _key LIMIT 20 OFFSET 3""")
+def suggest_paging_types(t):
+    """A page of several types at once, where an item shows up under more than one."""
+    return pg.page(_ring(t).drop("query"), ["-_score"], 20, 3, tie=["type", "_key"])
+
+
+@query(f"""SELECT type, _key, _score FROM ({_RING}) ORDER BY _score DESC, type, _key OFFSET 3""")
+def suggest_paging_rest(t):
+    return pg.page(_ring(t).drop("query"), ["-_score"], None, 3, tie=["type", "_key"])
+
+
 @query(f"""{_PAIRS} SELECT pre AS query, 'complete' AS type, post AS _key, freq0 AS _score
            FROM event_pairs WHERE freq0 >= 3""")
 def suggest_min_frequency(t):

@@ -67,15 +67,19 @@ def declare(columns: dict[str, Field], key: str | None = "ShortText") -> T.Struc
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` cast to ``schema``; unknown columns are an error, absent ones become null."""
+    """``df`` cast to ``schema``; unknown columns are an error, absent ones become null. Vectors
+    declared with ``last`` keep that many of their latest values."""
     unknown = [name for name in df.columns if name not in schema.names]
     if unknown:
         raise ValueError(f"columns not declared: {unknown}")
-    return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
-        .alias(f.name, metadata=f.metadata)
-        for f in schema.fields
-    ])
+    def value(field: T.StructField) -> SparkColumn:
+        given = F.col(field.name) if field.name in df.columns else F.lit(None)
+        cast = given.cast(field.dataType)
+        last = field.metadata.get("last")
+        return cast if not last else F.when(F.size(cast) > last, F.slice(cast, -last, last)) \
+            .otherwise(cast)
+
+    return df.select(*[value(f).alias(f.name, metadata=f.metadata) for f in schema.fields])
 
 
 def default_of(data_type: T.DataType) -> SparkColumn | None:

@@ -1,7 +1,9 @@
 """Named tables: each is a Parquet snapshot folder that the session catalog points to.
 
 A change writes a new folder and then moves the catalog entry, so readers see the old snapshot or
-the new one and a failed job leaves the table as it was. One writer per table at a time.
+the new one and a failed job leaves the table as it was. A log beside the snapshots names the
+current one, so another application finds the tables below the same root. One writer per table at
+a time.
 """
 
 from __future__ import annotations
@@ -9,15 +11,19 @@ from __future__ import annotations
 import uuid
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seekframe.operators import mutate
+from seekframe.operators import mutate, refs
 from seekframe.operators.rows import assign_row_id
 from seekframe.schema import ID, KEY, conform, fill_defaults
 
 
+_LOG = "version long, folder string"
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -26,16 +32,37 @@ class TableStore:
         return f"{self.root}/{name}/snapshot-{uuid.uuid4().hex}"
 
     def create_all(self, schemas: dict[str, T.StructType]) -> list[str]:
-        """Create the tables that do not exist yet; returns their names."""
+        """Create the tables that do not exist yet; returns their names. Tables that another
+        application left below the root are opened as they are."""
         created = []
         for name, schema in schemas.items():
-            if not self.spark.catalog.tableExists(name):
+            if self.spark.catalog.tableExists(name):
+                continue
+            _, path = self._current(name)
+            if path is None:
                 path = self._new_folder(name)
                 self.spark.createDataFrame([], schema).write.parquet(path)
-                self.spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+                self._make_current(name, path)
                 created.append(name)
+            self.spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
         return created
 
+    def _current(self, name: str) -> tuple[int, str | None]:
+        """Version and folder of the current snapshot, as the log has it."""
+        log = self.spark.read.schema(_LOG)
+        try:
+            last = log.json(f"{self.root}/{name}/log").orderBy(F.desc("version")).head()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = None
+        return (0, None) if last is None else (last["version"], f"{self.root}/{name}/{last['folder']}")
+
+    def _make_current(self, name: str, path: str) -> None:
+        entry = [(self._current(name)[0] + 1, path.rsplit("/", 1)[1])]
+        self.spark.createDataFrame(entry, _LOG).coalesce(1) \
+            .write.mode("append").json(f"{self.root}/{name}/log")
+
     def scan(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
@@ -44,14 +71,16 @@ class TableStore:
         path = self._new_folder(name)
         schema = self.scan(name).schema
         conform(df.select(*schema.names), schema).write.parquet(path)
+        self._make_current(name, path)
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
     def load(self, name: str, incoming: DataFrame, arrival: str | None = None) -> int:
-        """Load rows: by key with last write winning, or appended to a table without key. Returns
-        the number of rows given."""
-        table = self.scan(name)
+        """Load rows: by key with last write winning, or appended to a table without key. Rows of
+        referenced tables that do not exist yet are created. Returns the number of rows given."""
         given = incoming.count()
+        self._create_references(self.scan(name).schema, incoming, arrival)
+        table = self.scan(name)
         if KEY in table.columns:
             self.replace(name, mutate.upsert(table, incoming, arrival=arrival))
             return given
@@ -63,6 +92,19 @@ class TableStore:
         fill_defaults(rows).write.insertInto(name)
         return given
 
+    def _create_references(self, schema: T.StructType, incoming: DataFrame,
+                           arrival: str | None) -> None:
+        for field in schema.fields:
+            ref = field.metadata.get("ref")
+            if ref is None or field.name not in incoming.columns \
+                    or not self.spark.catalog.tableExists(ref):
+                continue
+            target = self.scan(ref)
+            if KEY in target.columns:
+                # Appended: rows that the table has already are not rewritten.
+                refs.missing_rows(incoming, field.name, target, order_col=arrival) \
+                    .write.insertInto(ref)
+
     def staged(self, name: str) -> StagedTableLoad:
         return StagedTableLoad(self, name)
 

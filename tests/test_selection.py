@@ -61,6 +61,18 @@ def test_sorting(articles, characters):
     assert ids(pg.sort(characters, "category", reverse=True)) == [3, 2, 1, 5, 4, 8, 7, 6]
 
 
+@pytest.mark.parametrize("limit, offset", [(2, 1), (None, 1), (None, 3), (None, -2), (-2, 0), (-3, 1)])
+@pytest.mark.parametrize("top_rows", [0, 100])
+def test_page_with_a_tie_of_two_columns(spark, limit, offset, top_rows):
+    rows = [("q1", "a", 5), ("q1", "b", 5), ("q2", "a", 5), ("q2", None, 4), ("q1", None, 4)]
+    df = spark.createDataFrame(rows, "query string, _key string, n int")
+    ordered = sorted(rows, key=lambda r: (-r[2], r[0], r[1] or ""))
+    start = offset if offset >= 0 else max(0, len(rows) + offset)
+    stop = None if limit is None else start + (limit if limit > 0 else len(rows) + limit + 1)
+    got = pg.page(df, ["-n"], limit, offset, tie=["query", "_key"], top_rows=top_rows)
+    assert [tuple(r) for r in got.collect()] == ordered[start:stop]
+
+
 @pytest.mark.parametrize("start, stop, step, top_rows", [
     (0, 5, 2, 100), (1, 4, 3, 100), (2, None, 2, 100), (1, None, 1, 100), (3, 3, 1, 100),
     (4, 2, 1, 100), (0, 8, 3, 100), (1, 8, 3, 0), (1, None, 1, 0)])

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seekframe import schema as sc
-from seekframe.operators import mutate, refs
+from seekframe.operators import index, mutate, refs, skew
 from seekframe.operators.rows import assign_row_id
-from seekframe.operators.skew import hot_keys, join_lookup
+from seekframe.operators.skew import best_of_key, hot_hashes, join_lookup
 from seekframe.session import scratch_path
 from seekframe.sources.json_records import read_records, write_records
 from seekframe.sources.store import TableStore
@@ -209,14 +209,72 @@ def test_salted_join_equals_plain_join(spark, how):
         C("id"), F.when(C("id") % 3 == 0, F.lit(0)).otherwise(C("id") % 50).alias("k"))
     small = spark.range(0, 40).select(C("id").alias("k"), (C("id") * 2).alias("w"))
     plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
-    salted = join_lookup(big, small, "k", how, salts=4, broadcast_rows=10)
+    salted = join_lookup(big, small, "k", how, broadcast_rows=10, part_rows=200)
     assert sorted(tuple(r) for r in salted.collect()) == plain
 
 
 def test_hot_keys(spark):
     df = spark.range(0, 3000).select(
         F.when(C("id") % 3 == 0, F.lit(-1)).otherwise(C("id")).alias("k"))
-    assert [r["k"] for r in hot_keys(df, "k", 0.1).collect()] == [-1]
+    place = df.select(F.xxhash64(F.lit(-1).cast("long"))).head()[0]
+    assert [(r["_place"], r["_rows"]) for r in hot_hashes(df, "k", 0.1).collect()] == [(place, 1000)]
+    assert hot_hashes(df.select(F.nullif("k", F.lit(-1)).alias("k")), "k", 0.1).count() == 1
+
+
+def test_best_of_key_beyond_the_window_limit(spark, monkeypatch):
+    monkeypatch.setattr(skew, "WINDOW_LIMIT", 5)
+    monkeypatch.setattr(skew, "PART_ROWS", 100)
+    rows = spark.range(3000).select(
+        "id", F.when(C("id") % 3 != 0, C("id") % 40).alias("k"), F.lit("x").alias("g"))
+    got = best_of_key(rows, ["k", "g"], [F.desc("id")], 7, "n")
+    assert "_part" in got._jdf.queryExecution().toString()
+    want = {}
+    for i in sorted(range(3000), reverse=True):
+        want.setdefault(i % 40 if i % 3 else None, []).append(i)
+    assert {(r["k"], r["n"], r["id"]) for r in got.collect()} == {
+        (k, n, i) for k, ids in want.items() for n, i in enumerate(ids[:7], 1)}
+
+
+def test_store_is_found_again(spark, tmp_path):
+    store, name = TableStore(spark, str(tmp_path)), f"kept_{uuid.uuid4().hex}"
+    assert store.create_all({name: SMALL}) == [name]
+    store.load(name, spark.createDataFrame([("a", "x"), ("b", "y")], ROWS))
+    store.delete(name, key="a")
+    spark.sql(f"DROP TABLE {name}")  # what another application's catalog knows of it
+    other = TableStore(spark, str(tmp_path))
+    assert other.create_all({name: SMALL}) == []
+    assert table(other.scan(name)) == [(2, "b", "y")]
+    other.load(name, spark.createDataFrame([("c", "z")], ROWS))
+    assert table(other.scan(name)) == [(2, "b", "y"), (3, "c", "z")]
+
+
+def test_load_creates_references_and_turns_rings(spark, tmp_path):
+    site, tag = (f"{n}_{uuid.uuid4().hex}" for n in ("site", "tag"))
+    store = TableStore(spark, str(tmp_path))
+    store.create_all({
+        tag: sc.declare({"uses": sc.Field("Int32")}),
+        site: sc.declare({"tags": sc.Field(vector=True, ref=tag), "main": sc.Field(ref=tag),
+                          "parent": sc.Field(ref=site), "log": sc.Field("Int32", last=2)})})
+    store.load(tag, spark.createDataFrame([("old", 4)], "_key string, uses int"))
+    rows = spark.createDataFrame(
+        [("s1", ["b", "old", "a", "b"], "c", "s0", [1, 2, 3]), ("s2", None, None, "s1", [4])],
+        "_key string, tags array<string>, main string, parent string, log array<int>")
+    assert store.load(site, rows) == 2
+    assert sorted((r["_id"], r["_key"], r["uses"]) for r in store.scan(tag).collect()) == [
+        (1, "old", 4), (2, "b", 0), (3, "a", 0), (4, "c", 0)]
+    got = {r["_key"]: r for r in store.scan(site).collect()}
+    assert sorted(got) == ["s0", "s1", "s2"]
+    assert (got["s1"]["log"], got["s2"]["log"], got["s0"]["log"]) == ([2, 3], [4], [])
+    assert got["s1"]["tags"] == ["b", "old", "a", "b"] and got["s2"]["main"] == ""
+
+
+def test_references_held_in_vectors(spark):
+    rows = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["b", None]), (3, []), (4, None)],
+                                 "_id long, tags array<string>")
+    counts = index.reverse_refs(rows, "tags").filter("_key is not null")
+    assert {(r["_key"], r["_nsubrecs"]) for r in counts.collect()} == {("a", 1), ("b", 2)}
+    keys = spark.createDataFrame([("b",)], "_key string")
+    assert sorted(ids(index.rows_pointing_to(rows, "tags", keys))) == [1, 2]
 
 
 def test_staged_load_reads_the_table_at_commit(spark, tmp_path):
