@@ -2,11 +2,12 @@
 
 Unit vectors go to the list of their nearest coarse centroid; the rest to it is cut into subspaces
 and coded. A partner in another list lies beyond the border between the two cells, so a vector
-probes the lists whose border is near, which is a plain test on squared distances. How near: of a
-step in any direction, only the part towards the border counts; ``DEVIATIONS`` standard deviations
-of that part are probed, from either partner. In a list, distances come from one table per probing
-vector; each stored vector knows the length of what its code leaves out, so the codes miss no
-partner. What passes is compared by its exact cosine.
+probes the lists whose border is near, which is a plain test on squared distances. How near: two
+partners lie on either side of the border between their cells, so their distances to it add up to
+no more than their own distance, and one of them is within half the reach. That one probes, so no
+partner is missed whatever the vectors look like. In a list, distances come from one table per
+probing vector; each stored vector knows the length of what its code leaves out, so the codes miss
+no partner. What passes is compared by its exact cosine.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from seekframe.session import materialise, spread
 
 SIMILARITY = 0.93
 FIT_ROWS = 8000
-DEVIATIONS = 2.8
 PARTS, CODES = 16, 64
 PART_ROWS = 2048  # stored vectors of one list that are compared in one task
 ASK_ROWS = 512
@@ -47,8 +47,8 @@ class Index:
                           + (self.centroids ** 2).sum(1))
 
     def step(self, similarity: float) -> float:
-        """How far towards a border partners are looked for."""
-        return math.sqrt(2 - 2 * similarity) * min(1.0, DEVIATIONS / math.sqrt(self.width))
+        """How near a border is probed: half the reach, for one of two partners is that near."""
+        return math.sqrt(2 - 2 * similarity) / 2
 
     def probed(self, unit: np.ndarray, home: np.ndarray, lists: np.ndarray,
                similarity: float) -> np.ndarray:

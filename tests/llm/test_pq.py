@@ -100,3 +100,21 @@ def test_recall_at_the_threshold():
     home = [index.distances(v).argmin(axis=1) for v in (x, y)]
     found = index.probed(x, home[0], home[1], 0.93) | index.probed(y, home[1], home[0], 0.93)
     assert found.mean() > 0.97
+
+
+@pytest.mark.parametrize("width, rank", [(64, 6), (384, 16)])
+def test_probes_every_link_of_a_hot_flat_cluster(width, rank):
+    """Differences that lie in a few dimensions point straight at the borders."""
+    draw = np.random.default_rng(4)
+    x = draw.normal(0, 1, (3000, width))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:1000] = x[0]
+    x[:1000, :rank] += draw.normal(0, 0.3 / math.sqrt(rank), (1000, rank))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = pq.fit(x, 120)
+    home = index.distances(x).argmin(axis=1)
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.93, 1))
+    assert len(a) > 10_000 and (home[a] != home[b]).sum() > 5_000
+    found = (home[a] == home[b]) | index.probed(x[a], home[a], home[b], 0.93) \
+        | index.probed(x[b], home[b], home[a], 0.93)
+    assert found.all()
