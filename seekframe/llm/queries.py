@@ -113,7 +113,7 @@ def op9_near_vectors(spark, folder):
 def op10_warc(spark, folder):
     archive = scratch_path(spark, "warc")
     warc.write_archive(read(spark, folder, "pages"), archive)
-    found = warc.records(warc.read_archive(spark, archive, payload=False))
+    found = warc.whole_records(warc.read_archive(spark, archive, payload=False))
     return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
                         "record_type", warc.page_of("refers_to").alias("refers_to"))
 

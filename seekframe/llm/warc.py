@@ -31,7 +31,6 @@ _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
-_LONGEST_HEADER = 1 << 20
 
 
 def write_archive(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "url",
@@ -95,7 +94,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     """(end, header, payload) of the record at ``at``, or what is wrong with it."""
     if not _VERSION.match(data, at):
         return "no version line"
-    stop = data.find(b"\r\n\r\n", at, at + _LONGEST_HEADER)
+    stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         return "header without end"
     header = {}
@@ -123,7 +122,7 @@ def _record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
 
 def _next_after(data: bytes, at: int) -> int:
     """Where the record at ``at`` ends by its own header, if a valid record or the end follows."""
-    stop = data.find(b"\r\n\r\n", at, at + _LONGEST_HEADER)
+    stop = data.find(b"\r\n\r\n", at)
     length = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]{1,15})\r\n", data[at:stop + 2]) \
         if stop >= 0 and _VERSION.match(data, at) else None
     end = stop + 8 + int(length[1]) if length else -1
@@ -255,6 +254,13 @@ def records(archive: DataFrame) -> DataFrame:
     return archive.filter(F.col("reason").isNull()).drop("reason")
 
 
+def whole_records(archive: DataFrame) -> DataFrame:
+    """The records of ``read_archive``; reading fails at a gap."""
+    said = F.concat_ws(" ", F.lit("gap in"), "file", F.lit("at"), "start", F.lit(":"), "reason")
+    return archive.filter(F.when(F.col("reason").isNull(), F.lit(True))
+                          .otherwise(F.raise_error(said).cast("boolean"))).drop("reason")
+
+
 def gaps(archive: DataFrame) -> DataFrame:
     """The quarantined byte ranges of ``read_archive``."""
     return archive.filter(F.col("reason").isNotNull()).select("file", "start", "size", "reason")

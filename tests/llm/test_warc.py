@@ -130,3 +130,22 @@ def test_damaged_files_lose_only_what_was_hit(spark, tmp_path):
         f"<urn:page:{i}>" for i in range(50) if i != 20}
     (gap,) = warc.gaps(archive).collect()
     assert gap.start < at < gap.start + gap.size and gap.reason == "digest does not fit"
+
+
+def test_a_header_of_any_length_is_read_and_gaps_fail(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a.b/" + "x" * (2 << 20), "one"), (2, "http://a.b/c", "two")],
+                                  "page_id long, url string, html string")
+    path = str(tmp_path / "archive")
+    warc.write_archive(pages.coalesce(1), path)
+    found = warc.whole_records(warc.read_archive(spark, path)).collect()
+    assert sorted((len(r.uri), bytes(r.payload)) for r in found) == [(12, b"two"), (11 + (2 << 20), b"one")]
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part").write_bytes(record(b"body") + b"junk")
+    damaged = warc.read_archive(spark, str(tmp_path / "damaged"))
+    assert warc.gaps(damaged).count() == 1
+    try:
+        warc.whole_records(damaged).collect()
+    except Exception as error:
+        assert "gap in" in str(error)
+    else:
+        raise AssertionError("a gap was passed over")
