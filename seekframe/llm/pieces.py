@@ -9,7 +9,7 @@ stays whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 #: White space of the vocabularies' patterns; Python's own adds four control characters.
 SPACE = (r"\t-\r \x85\xa0  -     　")
@@ -18,10 +18,52 @@ _SIGN = r".,!?;:\"()|#$%&*"
 PIECE = re.compile(
     f" ?[{_LETTER}]+(?=[{_SIGN}{SPACE}]|\\Z)| ?[{_SIGN}]+(?=[{_LETTER}{SPACE}]|\\Z)"
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-KEPT = 300_000  # pieces a worker remembers
+KEPT = 150_000  # pieces of a generation
 KEPT_CHARS = 48
 
 
+class Generations:
+    """Encoded pieces by text, made per task. ``encode`` gives the ids of new pieces as
+    little-endian bytes; all new pieces of a batch are encoded in one call.
+
+    Two generations: when the young one is full it becomes the old one, and pieces met again move
+    up from there. So frequent pieces stay while rare ones go, and at most ``2 * KEPT`` are held,
+    none of them over ``KEPT_CHARS``.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+        self.encode, self.young, self.old = encode, {}, {}
+        self.long: dict[str, bytes] = {}
+
+    def learn(self, pieces: set[str]) -> None:
+        """Make the ids of ``pieces`` known until the next call."""
+        self.long = {}
+        if len(self.young) > KEPT:
+            self.young, self.old = {}, self.young
+        new = []
+        for piece in pieces.difference(self.young):
+            found = self.old.get(piece)
+            if found is None:
+                new.append(piece)
+            else:
+                self.young[piece] = found
+        for piece, ids in zip(new, self.encode(new) if new else ()):
+            (self.young if len(piece) <= KEPT_CHARS else self.long)[piece] = ids
+
+    def take(self, pieces: list[str]) -> bytes:
+        """Ids of pieces that the last :meth:`learn` named."""
+        if self.long:
+            young, long = self.young, self.long
+            return b"".join([young[p] if p in young else long[p] for p in pieces])
+        return b"".join(map(self.young.__getitem__, pieces))
+
+    def joined(self, parts: Iterable[list[str]]) -> Iterator[bytes]:
+        """Ids of the parts of one text."""
+        for pieces in parts:
+            self.learn(set(pieces))
+            yield self.take(pieces)
+
+
 class Remembered:
     """Encoded pieces by text. ``encode`` gives the ids of new pieces as little-endian bytes."""
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from seekframe.llm import (
     bpe,
+    byte_bpe,
+    negatives,
     packing,
     pii,
     pq,
@@ -125,3 +127,34 @@ SQL["op10_warc"] = """
       CASE WHEN size >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
       CASE WHEN size >= 1000 AND page_id <> owner THEN owner END AS refers_to
     FROM rows"""
+
+
+@query
+def op11_byte_bpe(spark, folder):
+    return byte_bpe.round_trip(read(spark, folder, "documents"),
+                               public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op12_hard_negatives(spark, folder):
+    return negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = """
+    WITH rows AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id AS id,
+          CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS MATERIALIZED (SELECT a.n AS anchor, a.id AS anchor_id, r.n, r.id, a.label = r.label AS same,
+          list_inner_product(a.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score
+        FROM rows a JOIN rows r ON a.id % 100 = 0 AND r.id <> a.id),
+      positives AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor
+          ORDER BY score DESC, id, n) AS nth FROM scored WHERE same) WHERE nth <= 5),
+      pairs AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id,
+          p.score AS positive_score, s.score AS negative_score,
+          (row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY s.score DESC, s.id))::INTEGER AS rank
+        FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+          AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+    FROM pairs WHERE rank <= 10"""
