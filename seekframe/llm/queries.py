@@ -15,6 +15,7 @@ from seekframe.llm import (
     packing,
     pii,
     pq,
+    prefix_trie,
     quality,
     simhash,
     topk,
@@ -158,3 +159,39 @@ SQL["op12_hard_negatives"] = """
           AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
     SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
     FROM pairs WHERE rank <= 10"""
+
+
+@query
+def op13_prefix_trie(spark, folder):
+    return prefix_trie.conversation_trie(read(spark, folder, "conversations"))
+
+
+# CRC-32 of the decimal id by its definition: a byte at a time, eight shifts each.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda v, z: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+SQL["op13_prefix_trie"] = f"""
+    WITH turns AS (SELECT conv_id AS c, turn, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS t,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS digest
+        FROM conversations WHERE conv_id IS NOT NULL),
+      own AS (SELECT c, list(t ORDER BY turn NULLS FIRST, digest) AS ts, {_CRC} % 4 AS h
+        FROM turns GROUP BY c),
+      rebuilt AS MATERIALIZED (SELECT o.c, list_concat(coalesce(b.ts, [])[1:o.h], o.ts[o.h + 1:]) AS ts
+        FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 20),
+      members AS (SELECT c, unnest(range(len(ts) + 1)) AS depth, ts FROM rebuilt),
+      nodes AS MATERIALIZED (SELECT depth, ts[1:depth] AS p, min(c) AS conv_id, count(*) AS n_convs,
+          coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = len(ts)), '') AS ends
+        FROM members GROUP BY ALL),
+      below AS (SELECT depth - 1 AS depth, p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+      kept AS MATERIALIZED (SELECT n.*, coalesce(b.n, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1)
+          * len(regexp_extract_all(n.p[n.depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+        FROM nodes n LEFT JOIN below b ON b.depth = n.depth AND b.p = n.p),
+      spread AS (SELECT unnest(range(depth + 1)) AS d, p, saved, n_children = 0 AS leaf FROM kept),
+      sums AS (SELECT d AS depth, p[1:d] AS p, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+        FROM spread GROUP BY ALL)
+    SELECT k.conv_id, k.depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves,
+      s.saved_tokens, sha256(k.ends) AS ends_sha256
+    FROM kept k JOIN sums s ON s.depth = k.depth AND s.p = k.p
+      LEFT JOIN nodes up ON up.depth = k.depth - 1 AND up.p = k.p[1:k.depth - 1]"""
