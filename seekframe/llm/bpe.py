@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from seekframe.llm.pieces import KEPT_CHARS, Remembered, valid
+from seekframe.llm.pieces import KEPT_CHARS, PIECE, Generations, encoded, encoded_apart, valid
 from seekframe.session import spread
 
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 _END = ""  # stands for the end-of-word suffix, outside the byte alphabet
 
 
@@ -61,7 +61,6 @@ class Encoder:
         self.shorter: dict[int, int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.words: dict[str, list[int]] = {}
-        self.pieces = Remembered(lambda new: [self.ids[self.ranks(p)].tobytes() for p in new])
         self.names = {vocabulary[name]: name for name in names} | {
             i: text for text, i in self.added.items()}
 
@@ -150,14 +149,26 @@ class Encoder:
             out += found
         return out
 
+    def new_pieces(self) -> Generations:
+        """A store of encoded pieces, for the length of a task."""
+        return Generations(lambda new: [self.ids[self.ranks(p)].tobytes() for p in new])
+
+    def encode_all(self, texts: list[str | None], known: Generations) -> Iterator[np.ndarray]:
+        """Ids of whole texts; the strings of added tokens are these tokens."""
+        def with_added(text: str) -> bytes | None:
+            found = list(self.special.finditer(text))
+            if not found:
+                return None
+            borders = [0, *(at for m in found for at in m.span()), len(text)]
+            between = encoded([text[a:b] for a, b in zip(borders[::2], borders[1::2])], PIECE, known)
+            added = [self.added[m[0]].to_bytes(4, "little") for m in found]
+            return b"".join(part for pair in zip(between, [*added, b""]) for part in pair)
+
+        for ids in encoded_apart([valid(t) for t in texts], PIECE, known, with_added):
+            yield np.frombuffer(ids, dtype="<u4")
+
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text; the strings of added tokens are these tokens."""
-        text, parts, at = valid(text), [], 0
-        for found in self.special.finditer(text):
-            parts += [self.pieces(text[at:found.start()]),
-                      self.added[found[0]].to_bytes(4, "little")]
-            at = found.end()
-        return np.frombuffer(b"".join([*parts, self.pieces(text[at:])]), dtype="<u4")
+        return next(self.encode_all([text], self.new_pieces()))
 
     @cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
@@ -179,24 +190,28 @@ class Encoder:
         return b"".join(out)[:-1]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process."""
     return Encoder(path)
 
 
-def _over_texts(docs: DataFrame, id_column: str, text: str, schema: str | list, make) -> DataFrame:
-    """``make(text)`` gives the columns after the id for each document."""
+def _over_texts(docs: DataFrame, path: str, id_column: str, text: str, schema: str,
+                make) -> DataFrame:
+    """``make(ids, encoder)`` gives the columns after the id for each document."""
     kind = docs.schema[id_column].dataType
     fields = T.StructType([T.StructField(id_column, kind),
                            *T._parse_datatype_string(schema).fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        coder = encoder(path)
+        known = coder.new_pieces()
         for batch in batches:
             # A few texts at a time, so that a batch of long ones is not held twice.
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                rows = [make(t if isinstance(t, str) else "") for t in part["_text"]]
+                texts = [t if isinstance(t, str) else None for t in part["_text"]]
+                rows = [make(ids, coder) for ids in coder.encode_all(texts, known)]
                 columns = list(zip(*rows))
                 yield pd.DataFrame({id_column: part["_id"].to_numpy(), **{
                     f.name: pd.Series(list(c), dtype=object)
@@ -214,8 +229,8 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id",
     ids come back as they are. ``path`` must be readable on every executor, as part of its
     installed packages. Extra columns are left out, whatever their names.
     """
-    return _over_texts(docs, id_column, text, "ids array<long>",
-                       lambda t: (encoder(path).encode(t).astype(np.int64),))
+    return _over_texts(docs, path, id_column, text, "ids array<long>",
+                       lambda ids, coder: (ids.astype(np.int64),))
 
 
 def decode_documents(tokens: DataFrame, path: str, id_column: str = "doc_id",
@@ -238,9 +253,8 @@ def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id",
     """Encode and decode every document and return ``n_tokens``, ``ids_sha256`` and
     ``decoded_sha256``, without moving the ids out of the task. Nulls and repeats as in
     ``encode_documents``."""
-    def make(value: str) -> tuple[int, str, str]:
-        ids = encoder(path).encode(value)
-        return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                hashlib.sha256(encoder(path).decode(ids)).hexdigest())
-    return _over_texts(docs, id_column, text,
+    def make(ids: np.ndarray, coder: Encoder) -> tuple[int, str, str]:
+        return (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(),
+                hashlib.sha256(coder.decode(ids)).hexdigest())
+    return _over_texts(docs, path, id_column, text,
                        "n_tokens long, ids_sha256 string, decoded_sha256 string", make)

@@ -13,7 +13,6 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -22,14 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from seekframe.llm.pieces import Generations, valid
+from seekframe.llm.pieces import Generations, encoded, valid
 from seekframe.session import spread
 
 NONE = np.int32(2 ** 31 - 1)  # rank of a pair that does not merge
 CELLS = 1 << 18  # cells of one matrix
 WIDEST = 256  # bytes of a piece in a matrix; longer ones are merged one by one
-PART_CHARS = 1 << 20  # characters cut into pieces at once
-PIECES = 200_000  # pieces of one long text held at once
 
 
 def splitter(pattern: str) -> regex.Pattern:
@@ -200,15 +197,6 @@ class Encoder:
             at = stop
         return out
 
-    def cut(self, text: str) -> Iterator[list[str]]:
-        """The matches of the pattern, a bounded number at a time."""
-        if len(text) <= PART_CHARS:
-            yield self.pattern.findall(text)
-            return
-        found = (m[0] for m in self.pattern.finditer(text))
-        while part := list(islice(found, PIECES)):
-            yield part
-
     def decode(self, ids: np.ndarray) -> Iterator[bytes]:
         """Bytes of the ids, part by part, gathered through the table of offsets."""
         for at in range(0, len(ids), 1 << 16):
@@ -225,31 +213,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    """Texts in a row that together hold no more than ``PART_CHARS``, or one longer text."""
-    held, chars = [], 0
-    for text in texts:
-        if held and chars + len(text) > PART_CHARS:
-            yield held
-            held, chars = [], 0
-        held.append(text)
-        chars += len(text)
-    if held:
-        yield held
-
-
-def _ids_of(texts: list[str], coder: Encoder, known: Generations) -> Iterator[np.ndarray]:
-    """Ids of each text; texts of a group are cut together, so their new pieces share matrices."""
-    for group in _groups(texts):
-        if len(group) == 1:
-            yield np.frombuffer(b"".join(known.joined(coder.cut(group[0]))), dtype="<u4")
-            continue
-        cut = [coder.pattern.findall(text) for text in group]
-        known.learn({piece for pieces in cut for piece in pieces})
-        for pieces in cut:
-            yield np.frombuffer(known.take(pieces), dtype="<u4")
-
-
 def _over_texts(docs: DataFrame, path: str, id_column: str, text: str, schema: str,
                 make) -> DataFrame:
     """``make(ids, encoder)`` gives the columns after the id for each document."""
@@ -264,7 +227,8 @@ def _over_texts(docs: DataFrame, path: str, id_column: str, text: str, schema: s
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
                 texts = [valid(t if isinstance(t, str) else None) for t in part["_text"]]
-                columns = zip(*[make(ids, coder) for ids in _ids_of(texts, coder, known)])
+                columns = zip(*[make(np.frombuffer(ids, dtype="<u4"), coder)
+                                for ids in encoded(texts, coder.pattern, known)])
                 yield pd.DataFrame({id_column: part["_id"].to_numpy(), **{
                     f.name: pd.Series(list(c), dtype=object)
                     for f, c in zip(fields.fields[1:], columns)}})

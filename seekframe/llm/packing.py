@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from seekframe.llm.pieces import Remembered, valid
+from seekframe.llm.pieces import PIECE, Generations, encoded_apart, valid
 from seekframe.operators.skew import join_lookup
 from seekframe.session import materialise, spread
 
@@ -29,27 +30,34 @@ CAPACITY = 1024
 
 
 class Ids:
-    """Ids of whole texts by the library. Texts are cut where its pattern always cuts, and each
-    distinct chunk is encoded once per worker."""
+    """Ids of whole texts by the library. Texts are cut where its pattern always cuts; the distinct
+    new pieces of a group of texts go to the library in one call."""
 
     def __init__(self, path: str):
         # Tasks are the unit of parallel work; the library's own threads would crowd the executor.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Remembered(self._library)
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def new_pieces(self) -> Generations:
+        """A store of encoded pieces, for the length of a task."""
+        return Generations(self.library)
+
+    def encode_all(self, texts: list[str | None], known: Generations) -> Iterator[np.ndarray]:
+        """Ids of each text; one that holds the string of a special token is encoded whole."""
+        whole = lambda t: self.library([t])[0] if any(s in t for s in self.special) else None
+        for ids in encoded_apart([valid(t) for t in texts], PIECE, known, whole):
+            yield np.frombuffer(ids, dtype="<u4")
 
     def __call__(self, text: str | None) -> np.ndarray:
-        text = valid(text)
-        whole = any(s in text for s in self.special)
-        return np.frombuffer(self._library([text])[0] if whole else self.pieces(text), dtype="<u4")
+        return next(self.encode_all([text], self.new_pieces()))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _ids(path: str) -> Ids:
     return Ids(path)
 
@@ -132,10 +140,11 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         task, seen = TaskContext.get().partitionId(), Counter()
+        known = _ids(path).new_pieces()
         for batch in batches:
             rows = []
-            for who, value in zip(batch["_id"], batch["_text"]):
-                found = _ids(path)(value if isinstance(value, str) else None)
+            texts = [t if isinstance(t, str) else None for t in batch["_text"]]
+            for who, found in zip(batch["_id"], _ids(path).encode_all(texts, known)):
                 ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 borders = [0, *range(first, len(ids) + 1, capacity)]

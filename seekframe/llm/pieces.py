@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 #: White space of the vocabularies' patterns; Python's own adds four control characters.
 SPACE = (r"\t-\r \x85\xa0  -     　")
@@ -18,8 +19,10 @@ _SIGN = r".,!?;:\"()|#$%&*"
 PIECE = re.compile(
     f" ?[{_LETTER}]+(?=[{_SIGN}{SPACE}]|\\Z)| ?[{_SIGN}]+(?=[{_LETTER}{SPACE}]|\\Z)"
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-KEPT = 150_000  # pieces of a generation
+KEPT = 200_000  # pieces of a generation
 KEPT_CHARS = 48
+PART_CHARS = 1 << 20  # characters cut into pieces at once
+PART_PIECES = 200_000  # pieces of one long text held at once
 
 
 class Generations:
@@ -57,11 +60,52 @@ class Generations:
             return b"".join([young[p] if p in young else long[p] for p in pieces])
         return b"".join(map(self.young.__getitem__, pieces))
 
-    def joined(self, parts: Iterable[list[str]]) -> Iterator[bytes]:
-        """Ids of the parts of one text."""
-        for pieces in parts:
-            self.learn(set(pieces))
-            yield self.take(pieces)
+
+def parts(pattern, text: str) -> Iterator[list[str]]:
+    """The matches of the pattern, a bounded number at a time."""
+    if len(text) <= PART_CHARS:
+        yield pattern.findall(text)
+        return
+    found = (m[0] for m in pattern.finditer(text))
+    while part := list(islice(found, PART_PIECES)):
+        yield part
+
+
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in a row that together hold no more than ``PART_CHARS``, or one longer text."""
+    held, chars = [], 0
+    for text in texts:
+        if held and chars + len(text) > PART_CHARS:
+            yield held
+            held, chars = [], 0
+        held.append(text)
+        chars += len(text)
+    if held:
+        yield held
+
+
+def encoded(texts: Iterable[str], pattern, known: Generations) -> Iterator[bytes]:
+    """Ids of each text from those of its pieces. Texts of a group are cut together, so their new
+    pieces are encoded in one call."""
+    for group in _groups(texts):
+        if len(group) == 1:
+            out = []
+            for pieces in parts(pattern, group[0]):
+                known.learn(set(pieces))
+                out.append(known.take(pieces))
+            yield b"".join(out)
+            continue
+        cut = [pattern.findall(text) for text in group]
+        known.learn(set().union(*cut))
+        yield from [known.take(pieces) for pieces in cut]
+
+
+def encoded_apart(texts: list[str], pattern, known: Generations, special) -> Iterator[bytes]:
+    """As :func:`encoded`; texts in which ``special(text)`` finds ids, not None, have these."""
+    apart = [special(text) for text in texts]
+    plain = encoded([t for t, found in zip(texts, apart) if found is None], pattern, known)
+    for found in apart:
+        yield next(plain) if found is None else found
 
 
 class Remembered:

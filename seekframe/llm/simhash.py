@@ -50,10 +50,6 @@ class Scheme:
 
 
 EXACT = Scheme()
-#: Five-word shingles, 128 bits. 19 bits are the mean distance of sets of Jaccard similarity 0.8, so
-#: about half of the pairs there are missed and some less similar ones link; every link up to 15 bits
-#: is found. ``shingles.drop_near_copies`` compares the sets themselves.
-SIMILAR = Scheme(words=5, lanes=2, segments=8, radius=19)
 
 
 def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
@@ -299,7 +295,8 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT, id_column: str = "d
         F.col("_best.id").alias("component_id"), (F.col(ROW) == F.col("_best.row")).alias("keeper"))
 
 
-def drop_near_copies(docs: DataFrame, scheme: Scheme = SIMILAR, id_column: str = "doc_id",
+def drop_near_copies(docs: DataFrame, scheme: Scheme = EXACT, id_column: str = "doc_id",
                      text: str = "text") -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; same columns."""
+    """One document of each group of near copies, the one with the smallest id; same columns. Other
+    cases as in :func:`near_duplicates`: documents without words are one group."""
     return near_duplicates(docs, scheme, id_column, text, keep_columns=True).select(docs.columns)

@@ -10,8 +10,8 @@ import pytest
 import tiktoken
 
 from seekframe.llm import byte_bpe, queries
-from seekframe.llm.pieces import Generations
-from tests.llm.helpers import FOLDER, documents, table
+from seekframe.llm.pieces import Generations, encoded
+from helpers import FOLDER, documents, table
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -27,7 +27,7 @@ def library():
 def ids_of(text):
     coder = byte_bpe.encoder(PATH)
     known = Generations(coder.encode_pieces)
-    return np.frombuffer(b"".join(known.joined(coder.cut(text))), dtype="<u4").tolist()
+    return np.frombuffer(next(encoded([text], coder.pattern, known)), dtype="<u4").tolist()
 
 
 def sha(data):
@@ -110,7 +110,7 @@ def test_encode_then_decode(spark):
 
 
 def test_a_long_text_is_cut_in_parts(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "PART_CHARS", 1000)
-    monkeypatch.setattr(byte_bpe, "PIECES", 7)
+    monkeypatch.setattr("seekframe.llm.pieces.PART_CHARS", 1000)
+    monkeypatch.setattr("seekframe.llm.pieces.PART_PIECES", 7)
     text = "some words, 12 of them;  and   blanks\n" * 300
     assert ids_of(text) == library.encode_ordinary(text)

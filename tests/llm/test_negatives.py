@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seekframe.llm import negatives, queries
-from tests.llm.helpers import FOLDER, table
+from helpers import FOLDER, table
 
 
 def plain(rows, every=100, most=5, least=10):

@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 
 from seekframe.llm import prefix_trie, queries
-from tests.llm.helpers import FOLDER, table
+from helpers import FOLDER, table
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
