@@ -2,6 +2,13 @@
 is replaced, and what is left is packed into training sequences.
 
 Each stage takes (spark, docs, folder of the tables) and works on all that the stage before it kept.
+
+Null and empty texts are neither toxic nor near copies of other texts: they score 0 for toxicity, get
+a quality like any text, are one group of near copies together, and pack as one token. Null ids and
+repeated rows are documents like others; repeated texts are near copies, so the one with the
+smallest id stays, any id before null, and of equal ids one row. An empty table goes through all
+stages and gives no pieces. Further columns are carried along up to the packing, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -9,7 +16,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seekframe.llm import packing, pii, quality, shingles, toxicity
+from seekframe.llm import packing, pii, quality, simhash, toxicity
 from seekframe.session import materialise
 
 
@@ -30,14 +37,18 @@ def drop_poor(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return shingles.drop_near_copies(docs)
+    """Fingerprints of three-word shingles that differ in three bits or fewer link documents; of each
+    group the one with the smallest id stays."""
+    return simhash.drop_near_copies(docs, simhash.EXACT)
 
 
 def redact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Every span of personal data becomes its kind in angle brackets; ``n_chars`` follows."""
     return pii.redact_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of at most 1,024 tokens with their place in a sequence."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
