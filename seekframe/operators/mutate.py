@@ -18,50 +18,70 @@ def append(base: DataFrame, incoming: DataFrame) -> DataFrame:
     return base.unionByName(incoming, allowMissingColumns=True)
 
 
+GIVEN = "_given"
+
+
 def latest_by_key(incoming: DataFrame, key: str = KEY, arrival: str = "_arrival") -> DataFrame:
     """One row per key: struct ``_new`` of the last arrived values, and the first arrival.
 
-    Copies of a key collapse before the shuffle.
+    Where rows name in ``_given`` the columns they set, every value is that of the last row which
+    sets it, and ``_given`` lists what any of them sets. Copies of a key collapse before the shuffle.
     """
-    values = [c for c in incoming.columns if c not in (key, arrival)]
-    return incoming.groupBy(key).agg(
-        F.max_by(F.struct(*values), F.col(arrival)).alias("_new"),
-        F.min(arrival).alias(arrival))
+    values = [c for c in incoming.columns if c not in (key, arrival, GIVEN)]
+    first = F.min(arrival).alias(arrival)
+    if GIVEN not in incoming.columns:
+        return incoming.groupBy(key).agg(
+            F.max_by(F.struct(*values), F.col(arrival)).alias("_new"), first)
+    sets = lambda c: F.array_contains(GIVEN, c)
+    # A struct, so a null that a row sets counts as set.
+    last = [F.max_by(F.struct(c), F.when(sets(c), F.col(arrival)))[c].alias(c) for c in values]
+    given = F.concat(*[F.when(F.bool_or(sets(c)), F.array(F.lit(c)))
+                       .otherwise(F.array().cast("array<string>")) for c in values])
+    return incoming.groupBy(key).agg(F.struct(*last).alias("_new"), given.alias(GIVEN), first)
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str = KEY, id_col: str = ID,
-           arrival: str | None = None) -> DataFrame:
+           arrival: str | None = None, next_id: int | Column | None = None) -> DataFrame:
     """Load by key: the last write of a key wins, known keys keep their id, new keys get the next
     ids in order of first arrival.
 
     ``arrival`` names a column of ``incoming`` that gives the load order (not stored); without it
-    the order of the scan counts. Columns absent from ``incoming`` keep their values; nulls in it
-    take type defaults.
+    the order of the scan counts. Columns absent from ``incoming``, or from a row's ``_given``, keep
+    their values; nulls in it take type defaults. ``next_id`` is for a base that is only part of its
+    table; without it ids go on after the largest of ``base``.
     """
     if arrival is None:
         arrival = "_arrival"
         incoming = incoming.withColumn(arrival, F.monotonically_increasing_id())
     incoming = incoming.drop(id_col)
-    given = [c for c in incoming.columns if c not in (key, arrival)]
+    given = [c for c in incoming.columns if c not in (key, arrival, GIVEN)]
     unknown = [c for c in given if c not in base.columns]
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
     latest = latest_by_key(fill_defaults(incoming, given), key, arrival)
+    named = GIVEN in latest.columns
+
+    def value(c: str) -> Column:
+        if c not in given:
+            return F.col(c)
+        new = F.array_contains(GIVEN, c) if named else F.col("_new").isNotNull()
+        return F.when(new, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
 
     # Keys are unique on both sides; a small load is broadcast, so the table is not shuffled for it.
     small = fits_broadcast(incoming)
-    updated = join_lookup(base, latest.drop(arrival), key, "left", 1, small).select(*[
-        F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-        if c in given else F.col(c) for c in base.columns])
+    updated = join_lookup(base, latest.drop(arrival), key, "left", 1, small) \
+        .select(*[value(c) for c in base.columns])
 
     known = join_lookup(base.select(key), latest.select(key), key, "left_semi", 1, small)
     fresh = latest.join(known, key, "left_anti")
-    next_id = F.coalesce(base.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
+    if next_id is None:
+        next_id = F.coalesce(base.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
     numbered = assign_row_id(fresh, [F.col(arrival)], id_col, next_id)
     added = numbered.select(key, id_col, *[F.col(f"_new.{c}").alias(c) for c in given])
     absent = [f for f in base.schema.fields if f.name not in added.columns]
     added = added.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
-    return updated.unionByName(fill_defaults(added, [f.name for f in absent]))
+    empty = [f.name for f in absent] + (given if named else [])
+    return updated.unionByName(fill_defaults(added, empty))
 
 
 class StagedLoad:
@@ -82,23 +102,22 @@ class StagedLoad:
 
     def commit(self) -> DataFrame:
         """The table after all batches."""
-        return reduce(lambda base, rows: upsert(base, rows, self._key, self._id, "_arrival"),
-                      self.take(), self._base)
+        rows = self.take()
+        return self._base if rows is None else upsert(self._base, rows, self._key, self._id, "_arrival")
 
-    def take(self) -> list[DataFrame]:
-        """End the load and give its rows with ``_arrival``, to be loaded in this order.
+    def take(self) -> DataFrame | None:
+        """End the load and give all its rows with ``_arrival``, the order they are loaded in.
 
-        Batches in a row that have the same columns are one; others stay apart, so a column that a
-        batch lacks keeps its value.
+        Where batches have different columns, ``_given`` names those of each row, so that a column a
+        batch lacks keeps its value and one load does for all.
         """
         batches, self._batches = self._open(), None
-        out: list[DataFrame] = []
-        for batch in batches:
-            if out and sorted(batch.dtypes) == sorted(out[-1].dtypes):
-                out[-1] = out[-1].unionByName(batch)
-            else:
-                out.append(batch)
-        return out
+        if not batches:
+            return None
+        if len({tuple(sorted(b.columns)) for b in batches}) > 1:
+            batches = [b.withColumn(GIVEN, F.lit([c for c in b.columns if c not in (
+                self._key, self._id, "_arrival")]).cast("array<string>")) for b in batches]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
 
     def rollback(self) -> DataFrame:
         """The table as it was; nothing has been written."""
@@ -140,12 +159,16 @@ def delete(base: DataFrame, key: Any = None, id: Any = None, where: Column | Non
 def deletes_any(base: DataFrame, key: Any = None, id: Any = None, where: Column | None = None,
                 key_col: str = KEY, id_col: str = ID) -> bool:
     """Whether :func:`delete` would take a row away; stops at the first hit."""
+    return not selected(base, key, id, where, key_col, id_col).isEmpty()
+
+
+def selected(base: DataFrame, key: Any = None, id: Any = None, where: Column | None = None,
+             key_col: str = KEY, id_col: str = ID) -> DataFrame:
+    """The rows that :func:`delete` would take away."""
     _selector(key, id, where)
     if isinstance(key, DataFrame):
-        hits = join_lookup(base, key.select(key_col), key_col, "left_semi", salts=1)
-    else:
-        hits = base.filter(_condition(key, id, where, key_col, id_col))
-    return not hits.isEmpty()
+        return join_lookup(base, key.select(key_col), key_col, "left_semi", salts=1)
+    return base.filter(_condition(key, id, where, key_col, id_col))
 
 
 def truncate(base: DataFrame) -> DataFrame:

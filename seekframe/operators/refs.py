@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,15 +54,20 @@ def missing_keys(df: DataFrame, column: str, target: DataFrame, key: str = "_key
         placed = df.select(F.col(column).alias(key), place.alias("_arrival"))
     wanted = placed.withColumn(key, F.col(key).cast(target.schema[key].dataType)) \
         .filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("_arrival").alias("_arrival"))
-    return wanted.join(target.select(key), key, "left_anti")
+    # Only the keys of the load are looked for: few of them are broadcast, and the target is scanned
+    # for its key column without a shuffle.
+    known = join_lookup(target.select(key), wanted.select(key), key, "left_semi", salts=1)
+    return wanted.join(known, key, "left_anti")
 
 
 def missing_rows(df: DataFrame, column: str, target: DataFrame, key: str = "_key",
-                 id_col: str = "_id", order_col: str | None = None) -> DataFrame:
+                 id_col: str = "_id", order_col: str | None = None,
+                 next_id: int | Column | None = None) -> DataFrame:
     """One row of ``target`` per missing reference, with the next ids in order of appearance and
     type defaults in all other columns."""
     missing = missing_keys(df, column, target, key, order_col)
-    next_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
+    if next_id is None:
+        next_id = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
     rows = assign_row_id(missing, [F.col("_arrival")], id_col, next_id).drop("_arrival")
     absent = [f for f in target.schema.fields if f.name not in (key, id_col)]
     rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from seekframe import schema as sc
 from seekframe.operators import mutate
 from seekframe.operators.rows import assign_row_id
+from seekframe.plans import sql
 from seekframe.plans.registry import query
 from seekframe.session import scratch_path
 from seekframe.sources.json_records import read_records, write_records
@@ -158,3 +159,79 @@ def create_if_absent(t):
     store.load(name, _customers(t).withColumnRenamed("_id", "at"), arrival="at")
     store.create_all({name: CUSTOMER})
     return store.scan(name)
+
+
+def _stored(t, label, schema, rows, arrival):
+    """A new stored table with the given rows."""
+    store = TableStore(t.spark, scratch_path(t.spark, "store"))
+    name = f"{label}_{store.root.rsplit('-', 1)[1]}"
+    store.create_all({name: schema}, buckets=8)
+    store.load(name, rows, arrival=arrival)
+    return store, name
+
+
+@query(f"""WITH base AS (SELECT row_number() OVER (ORDER BY _id) AS _id, _key, balance, segment, nation
+                         FROM ({_CUSTOMERS})), {_INCOMING},
+           loaded AS (
+             SELECT _id, _key, coalesce(i.balance, b.balance) AS balance,
+                    coalesce(i.segment, b.segment) AS segment, nation
+             FROM base b LEFT JOIN incoming i USING (_key)
+             UNION ALL
+             SELECT (SELECT max(_id) FROM base) + row_number() OVER (ORDER BY first), _key, balance,
+                    segment, 0
+             FROM incoming WHERE _key NOT IN (SELECT _key FROM base))
+           SELECT _id, _key, CASE WHEN nation < 5 THEN balance + 100 ELSE balance END AS balance, segment,
+                  CAST(nation AS SMALLINT) AS nation
+           FROM loaded WHERE NOT (balance < 0 AND segment = 'BUILDING')""")
+def stored_changes(t):
+    """A stored table after a staged load, a delete and a commit of edited rows."""
+    store, name = _stored(t, "customers", CUSTOMER, _customers(t).withColumnRenamed("_id", "at"), "at")
+    store.staged(name).load(_big_orders(t), arrival="at").load(_suppliers(t), arrival="at").commit()
+    store.delete(name, where=(C("balance") < 0) & (C("segment") == "BUILDING"))
+    rows = store.scan(name)
+    store.commit_changed(name, rows.withColumn("balance", F.when(C("nation") < 5, C("balance") + 100)
+                                               .otherwise(C("balance"))))
+    return store.scan(name)
+
+
+@query("""SELECT 'customers' AS name, 0::BIGINT AS n UNION ALL SELECT 'parts', count(*) FROM part""")
+def truncate_stored(t):
+    """Rows of two stored tables after one of them was truncated."""
+    store, name = _stored(t, "customers", CUSTOMER, _customers(t).withColumnRenamed("_id", "at"), "at")
+    other = f"parts_{name.rsplit('_', 1)[1]}"
+    store.create_all({other: PART}, buckets=8)
+    store.load(other, _parts(t))
+    store.truncate(name)
+    rows = lambda n, label: store.scan(n).agg(F.count("*").alias("n")).select(
+        F.lit(label).alias("name"), "n")
+    return rows(name, "customers").unionAll(rows(other, "parts"))
+
+
+PART = sc.declare({"name": sc.Field("Text"), "size": sc.Field("Int32")})
+
+
+def _parts(t):
+    return t.part.select(C("p_partkey").cast("string").alias("_key"), C("p_name").alias("name"),
+                         C("p_size").alias("size"))
+
+
+_PART_TERMS = ["ring", "hot", "promo"]
+_CHANGED_PARTS = """changed AS (SELECT CAST(p_partkey AS VARCHAR) AS _key,
+        CASE WHEN p_size > 40 THEN p_type || ' ' || p_name ELSE p_name END AS name
+    FROM part WHERE p_size >= 5)"""
+
+
+@query(f"""WITH {_CHANGED_PARTS}
+           SELECT _key, CAST(count(*) AS INTEGER) AS _score
+           FROM ({sql.postings('changed', '_key', sql.token_list('name'))})
+           WHERE token IN ('ring', 'hot', 'promo') GROUP BY _key""")
+def index_in_step(t):
+    """A lookup in an index that followed a load and a delete of its table."""
+    store, name = _stored(t, "parts", PART, _parts(t), None)
+    index = store.index(name, ["name"], buckets=8)
+    longer = t.part.filter("p_size > 40").select(
+        C("p_partkey").cast("string").alias("_key"), F.concat_ws(" ", "p_type", "p_name").alias("name"))
+    store.load(name, longer)
+    store.delete(name, where=C("size") < 5)
+    return store.scan(name).select("_id", "_key").join(index.match(_PART_TERMS), "_id") \
+        .select("_key", "_score")
