@@ -174,11 +174,6 @@ def _own_counts(items: DataFrame, asked: Asked, column: str) -> DataFrame:
     return asked.join(items.select(F.col("_key").alias("query"), F.col(column).alias("_base")))
 
 
-def _up_to(n: Column) -> Column:
-    """1 … n, empty below 1."""
-    return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-
-
 def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
     """Submitted items that start with one of ``queries`` (all or some of those asked), by key or
     by any reading: prefix = query, an equi-join. Only prefixes as long as some query are made."""
@@ -201,80 +196,87 @@ def _bigrams(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s)(?=(.{2}))."), F.lit(1))
 
 
-def _without_one(text: Column) -> Column:
-    """All strings left after taking one character away."""
-    return F.transform(_up_to(F.length(text)), lambda i: F.concat(
-        F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+SEGMENTS = 3  # one more than the edits allowed, so one segment of an item is left whole
+SHORT = 4  # characters of an item that is found by its bigrams, of which it has at most three
+KEYS = 39  # meeting keys of a query, at most
+
+
+def _segment(n: Column, number: int) -> tuple[Column, Column]:
+    """Start, from 0, and length of a segment of a text of ``n`` characters."""
+    part = lambda i: F.call_function("div", n + i, F.lit(SEGMENTS)).cast("int")
+    return sum((part(i) for i in range(number)), F.lit(0)), part(number)
 
 
-LONG = 128
-PIECES = 64
+def _meeting(n: Column, number: Column, text: Column) -> Column:
+    return F.xxhash64(n.cast("int"), number.cast("int"), text)
 
 
-def _spellings(df: DataFrame, column: str, longest: int) -> DataFrame:
-    """``df`` with one row per ``_meet``: a hash of ``column`` with up to two characters taken
-    away. Texts two edits apart share one, whichever edits they are."""
-    short = df.filter(F.length(column) <= longest)
-    once = short.withColumn("_once", _without_one(F.col(column)))
-    all_of_them = F.concat(F.array(F.col(column)), F.col("_once"),
-                           F.flatten(F.transform("_once", _without_one)))
-    # Close texts share a bigram, and then a spelling of two characters or more.
-    longer = F.filter(F.array_distinct(all_of_them), lambda s: F.length(s) >= 2)
-    hashes = F.transform(longer, lambda s: F.xxhash64(s))
-    return once.withColumn("_meet", F.explode(hashes)).drop("_once")
+def _kept(items: DataFrame) -> DataFrame:
+    key, n = F.col("_key"), F.length("_key")
+    whole = F.array(*[_meeting(n, F.lit(i), F.substring(key, start + 1, size))
+                      for i in range(SEGMENTS) for start, size in [_segment(n, i)]])
+    short = F.transform(F.array_distinct(_bigrams(key)), lambda b: _meeting(n, F.lit(-1), b))
+    return items.filter(F.col("freq2") > 0).select(
+        "_key", "freq2", F.explode(F.when(n <= SHORT, short).otherwise(whole)).alias("_meet"))
+
+
+def close_keys(items: DataFrame) -> DataFrame:
+    """``_meet, _key``: at most three keys for every submitted item, by which close texts find it.
+
+    An item is cut in three even segments; a text two edits away has one of them unchanged. Items of
+    up to ``SHORT`` characters are kept by their bigrams. The table depends on the items' texts only,
+    so it is written once and added to as items come.
+    """
+    return _kept(items).select("_meet", "_key")
 
 
-def _frames(df: DataFrame, column: str, lengths: Column, shifts: list[int]) -> DataFrame:
-    """``df`` with one row per ``_meet``: a hash of what is left of ``column`` after leaving out
-    two of ``PIECES`` pieces.
+def _probes(queries: DataFrame) -> DataFrame:
+    """``queries`` with a row for each ``_meet`` under which an item two edits away may be kept.
 
-    Two edits of a long item touch at most two pieces. What stands before the first is found in
-    the edited text at the same place, what stands between them moved by ``shifts``, and the rest
-    at the end. ``lengths`` are the item lengths the text is compared with.
+    For an item of n characters a segment may stand ``shift`` places off in the query; edits before
+    it and after it are then at least ``|shift|`` and ``|difference of lengths - shift|``.
     """
-    pieces = F.array(*[F.lit(i) for i in range(PIECES)])
-    rows = df.withColumn("_n", F.explode(F.filter(lengths, lambda n: n > LONG))) \
-        .withColumn("_shift", F.explode(F.array(*[F.lit(s) for s in shifts]))) \
-        .withColumn("_a", F.explode(F.slice(pieces, 1, PIECES - 1))) \
-        .withColumn("_b", F.explode(F.slice(pieces, F.col("_a") + 2, PIECES)))
-    cut = lambda piece: F.call_function("div", piece * F.col("_n"), F.lit(PIECES))
-    text, one = F.col(column), F.lit(1)
-    end_a, start_b, end_b = cut(F.col("_a") + 1), cut(F.col("_b")), cut(F.col("_b") + 1)
-    part = lambda start, size: F.substring(
-        text, (start + one).cast("int"), F.greatest(size, F.lit(0)).cast("int"))
-    frame = F.struct(
-        "_n", "_a", "_b", part(F.lit(0), cut(F.col("_a"))),
-        part(end_a + F.col("_shift"), start_b - end_a),
-        part(end_b + F.length(text) - F.col("_n"), F.length(text)))
-    return rows.withColumn("_meet", F.xxhash64(frame)).drop("_n", "_shift", "_a", "_b")
-
-
-def _close(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
+    query, size = F.col("query"), F.length("query")
+    found = []
+    for more in range(-2, 3):  # characters that the item has more than the query
+        n = size + more
+        for shift in range(-2, 3):
+            if abs(shift) + abs(-more - shift) > SEGMENTS - 1:
+                continue
+            for number in range(SEGMENTS):
+                start, width = _segment(n, number)
+                at = start + shift
+                inside = (n > SHORT) & (at >= 0) & (at + width <= size)
+                found.append(F.when(inside, _meeting(n, F.lit(number),
+                                                     F.substring(query, at + 1, width))))
+    long = F.filter(F.array(*found), lambda m: m.isNotNull())
+    lengths = F.filter(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda d: size + d),
+                       lambda n: n.between(2, SHORT))
+    short = F.flatten(F.transform(lengths, lambda n: F.transform(
+        _bigrams(query), lambda b: _meeting(n, F.lit(-1), b))))
+    return queries.withColumn("_meet", F.explode(F.array_distinct(F.concat(long, short))))
+
+
+def _close(items: DataFrame, asked: Asked, queries: DataFrame,
+           keys: DataFrame | None = None) -> DataFrame:
     """Submitted items within two edits of one of ``queries``, sharing a bigram with it, submitted
     more often than the query itself.
 
-    Candidates meet on a shared spelling or, for items longer than ``LONG``, on all but two of
-    their pieces; texts that merely have a bigram or a beginning in common are never paired.
+    Candidates meet on a segment that the edits left whole; ``keys`` is a stored
+    :func:`close_keys`, else it is made here.
     """
     own = asked.join(items.select(F.col("_key").alias("query"), F.col("freq2").alias("_own")))
     wanted = queries.join(own, "query", "left").withColumn("_own", F.coalesce("_own", F.lit(0)))
-    offered = items.filter(F.col("freq2") > 0).select("_key", "freq2")
-    # An edit may make a text one character longer or shorter, so short queries reach a bit further.
-    item_keys = _spellings(offered, "_key", LONG).unionByName(
-        _frames(offered, "_key", F.array(F.length("_key")), [0]))
-
-    def query_keys(rows: DataFrame) -> DataFrame:
-        lengths = F.sequence(F.length("query") - 2, F.length("query") + 2)
-        return _spellings(rows, "query", LONG + 2).unionByName(
-            _frames(rows, "query", lengths, [-2, -1, 0, 1, 2]))
-
-    few = asked.few and fits_broadcast(query_keys(asked.queries), KEY_ROWS)
-    met = join_lookup(item_keys, query_keys(wanted), "_meet", salts=1, broadcast=few)
+    few = asked.few and fits_broadcast(asked.queries, KEY_ROWS // KEYS)
+    met = join_lookup(_kept(items) if keys is None else keys, _probes(wanted), "_meet", broadcast=few)
     near = met.filter(
-        (F.col("freq2") > F.col("_own")) & (F.col("_key") != F.col("query"))
-        & (F.levenshtein("_key", "query", 2) >= 0)
+        (F.col("_key") != F.col("query")) & (F.levenshtein("_key", "query", 2) >= 0)
         & F.arrays_overlap(_bigrams(F.col("_key")), _bigrams(F.col("query"))))
-    return near.groupBy("query", "_key").agg(F.max("freq2").alias("_freq"))
+    if keys is not None:
+        near = near.select("query", "_key", "_own").distinct().join(
+            items.filter(F.col("freq2") > 0).select("_key", "freq2"), "_key")
+    return near.filter(F.col("freq2") > F.col("_own")) \
+        .groupBy("query", "_key").agg(F.max("freq2").alias("_freq"))
 
 
 def _either(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -309,9 +311,9 @@ def complete(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
 def correct(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
             frequency_threshold: int = FREQUENCY_THRESHOLD,
             conditional_probability_threshold: float | None = None,
-            similar_search: bool | None = None) -> DataFrame:
+            similar_search: bool | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Corrections from pairs; similar items for queries never submitted that have no pair, always
-    (``similar_search=True``) or never (``False``)."""
+    (``similar_search=True``) or never (``False``). ``keys`` is a stored :func:`close_keys`."""
     asked = Asked.of(queries)
     followed = _pair_hits(pairs, asked, "freq1").filter(F.col("_freq") >= frequency_threshold)
     if conditional_probability_threshold is not None:
@@ -320,13 +322,13 @@ def correct(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
     if similar_search is False:
         return followed
     if similar_search:
-        return _either(followed, _close(items, asked, asked.queries)
+        return _either(followed, _close(items, asked, asked.queries, keys)
                        .filter(F.col("_freq") >= frequency_threshold))
     known = items.filter(F.col("freq2") > 0).select(F.col("_key").alias("query"))
     submitted = asked.join(known)
     unknown = _unanswered(asked, followed).join(submitted, "query", "left_anti")
     return followed.unionByName(
-        _close(items, asked, unknown).filter(F.col("_freq") >= frequency_threshold))
+        _close(items, asked, unknown, keys).filter(F.col("_freq") >= frequency_threshold))
 
 
 def related(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
@@ -346,7 +348,7 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked
                   frequency_threshold: int = FREQUENCY_THRESHOLD,
                   conditional_probability_threshold: float | None = None,
                   prefix_search: bool | None = None,
-                  similar_search: bool | None = None) -> DataFrame:
+                  similar_search: bool | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Suggestions for every distinct ``query``: query, type, ``_key``, ``_score`` (frequency plus
     the item's boost); with ``top``, the best of each query and type and their ``rank``."""
     unknown = [t for t in types if t not in TYPES]
@@ -359,7 +361,7 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked
     shared = (items, pairs, queries, frequency_threshold, conditional_probability_threshold)
     made = {
         "complete": lambda: complete(*shared, prefix_search),
-        "correct": lambda: correct(*shared, similar_search),
+        "correct": lambda: correct(*shared, similar_search, keys),
         "suggest": lambda: related(*shared),
     }
     hits = None

@@ -13,6 +13,7 @@ from seekframe.plans.sql import (
     RELATED,
     log_with,
 )
+from seekframe.session import materialise
 
 C = F.col
 _PAIRS = log_with(FOLLOWED, EVENT_PAIRS)
@@ -111,6 +112,21 @@ def suggest_correct_similar(t):
     return _one((items.drop("boost"), pairs), "rad rinng", ("correct",), frequency_threshold=10)
 
 
+@query(f"""{_NAMES}, q AS (SELECT DISTINCT replace(_key, 'e', 'a') AS query FROM catalogue
+                           UNION SELECT substring(_key, 2) FROM catalogue)
+           SELECT query, 'correct' AS type, _key, freq2 AS _score
+           FROM q JOIN catalogue ON levenshtein(_key, query) <= 2 AND {_shared('_key', 'query')}
+           WHERE query NOT IN (SELECT _key FROM catalogue)""")
+def suggest_correct_stored(t):
+    """Corrections of many texts from stored segment keys."""
+    items, pairs = t.catalogue
+    items = items.drop("boost")
+    keys = materialise(sg.close_keys(items), "close-keys")
+    asked = items.select(F.replace("_key", F.lit("e"), F.lit("a")).alias("query")).union(
+        items.select(F.expr("substring(_key, 2)")))
+    return sg.suggest_batch(items, pairs, asked, ("correct",), frequency_threshold=1, keys=keys)
+
+
 @query(f"""{_NAMES} SELECT pre AS query, 'suggest' AS type, post AS _key, freq2 AS _score
            FROM related WHERE pre = 'ring' AND freq2 >= 10""")
 def suggest_related(t):

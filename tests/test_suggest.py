@@ -154,7 +154,20 @@ def test_close_long_texts_equal_brute_force(spark):
     want = offered.crossJoin(queries).filter("_key != query and levenshtein(_key, query) <= 2") \
         .collect()
     assert {(r["query"], r["_key"]) for r in got} == {(r["query"], r["_key"]) for r in want}
-    assert {len(r["_key"]) > sg.LONG for r in got} == {True, False} or len(got) > 10
+    assert {len(r["_key"]) > 128 for r in got} == {True, False} or len(got) > 10
+
+
+def test_stored_keys_are_three_an_item_and_serve_alike(spark):
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(1, 14))) for _ in range(150)})
+    items = spark.createDataFrame([(w, 2) for w in words], "_key string, freq2 long")
+    keys = sg.close_keys(items)
+    assert keys.groupBy("_key").count().agg(F.max("count")).head()[0] <= 3
+    queries = items.select(F.expr("substring(_key, 2)").alias("query")).filter("query <> ''").distinct()
+    for few in (True, False):
+        asked = sg.Asked(queries, few)
+        made = {tuple(r) for r in sg._close(items, asked, queries).collect()}
+        assert made == {tuple(r) for r in sg._close(items, asked, queries, keys).collect()} and made
 
 
 def test_batch_equals_single(spark, hundred):
