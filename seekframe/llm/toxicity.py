@@ -25,12 +25,13 @@ from seekframe.llm.tables import Example, labelled_sample
 from seekframe.session import spread
 
 THRESHOLD = 0.3
+FLOOR = 0.05  # sentences less likely toxic than this do not add up, so length makes no text toxic
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 WORD = re.compile(r"\w+")
 STEMS = (4, 5)  # letters of the word beginnings that are features beside the word itself
 # Chosen on a quarter of the learnable rows kept apart, after a first try on held-out ones.
 LEAST_DOCUMENTS = 2  # learned documents a feature must occur in
-FEATURES = 40_000  # at most; the most frequent are kept
+FEATURES = 40_000  # of the learned sample at most, which bounds the model; the most frequent are kept
 KEPT_WORDS = 300_000  # words a worker remembers the weight of
 ROUNDS = 90
 RATE = 0.3
@@ -69,14 +70,16 @@ class Model:
         return total
 
     def score(self, text: str | None) -> float:
-        """Probability of the document; null and empty texts have no sentence and score 0."""
-        if not text:
-            return 0.0
-        quiet = _softplus(self.bias)
-        log_clean, bias = 0.0, self.bias
-        for sentence in SENTENCE.findall(text.lower()):
-            weight = self.words(sentence)
-            log_clean -= quiet if not weight else _softplus(bias + weight)
+        """Probability of the document: noisy-or of its likely sentences or, without one, that of
+        its likeliest. Null and empty texts have no sentence and score 0."""
+        floor, log_clean, likeliest = math.log(FLOOR / (1 - FLOOR)), 0.0, -math.inf
+        for sentence in SENTENCE.findall((text or "").lower()):
+            logit = self.bias + self.words(sentence)
+            likeliest = max(likeliest, logit)
+            if logit >= floor:
+                log_clean -= _softplus(logit)
+        if log_clean == 0.0 and likeliest > -math.inf:
+            log_clean = -_softplus(likeliest)
         return -math.expm1(log_clean)
 
     def offending(self, text: str | None, threshold: float = 0.5) -> list[tuple[int, int, float]]:

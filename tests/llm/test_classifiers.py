@@ -55,8 +55,60 @@ def test_blame_settles_on_the_sentence():
     assert [text[a:b].strip() for a, b, _ in spans] == ["What a grobtix7!"]
     assert model.score(text) > 0.5 > 0.3 > model.score("Nice words here. Fine line.")
     logits = [model.bias + model.words(s.lower()) for s in toxicity.SENTENCE.findall(text)]
-    noisy_or = 1 - math.prod(1 - 1 / (1 + math.exp(-z)) for z in logits)
-    assert math.isclose(model.score(text), noisy_or, rel_tol=1e-9)
+    assert math.isclose(model.score(text), plain_toxicity(model, text), rel_tol=1e-9)
+    assert sum(z > math.log(0.05 / 0.95) for z in logits) == 1
+
+
+def plain_toxicity(model, text):
+    """Noisy-or of the sentences of at least 5 % or, without one, the likeliest sentence."""
+    chances = []
+    for sentence in toxicity.SENTENCE.findall((text or "").lower()):
+        words = set(toxicity.WORD.findall(sentence))
+        logit = model.bias + sum(model.weights.get(f, 0.0) for w in words for f in toxicity.features(w))
+        chances.append(1 / (1 + math.exp(-logit)))
+    likely = [p for p in chances if p >= 0.05] or [max(chances, default=0.0)]
+    return 1 - math.prod(1 - p for p in likely)
+
+
+def plain_quality(model, text):
+    """The network chunk by chunk: the largest answer of each filter, combined."""
+    data = quality._bytes(text)
+    best = np.full(len(model.bias), -np.inf)
+    for chunk in quality._chunks(data):
+        best = np.maximum(best, sum(model.tables[w, b] for w, b in enumerate(chunk)))
+    return 1 / (1 + math.exp(-(float(np.maximum(best + model.bias, 0) @ model.combine) + model.offset)))
+
+
+@pytest.mark.parametrize("name, module, plain", [("op5_quality", quality, plain_quality),
+                                                 ("op8_toxicity", toxicity, plain_toxicity)])
+def test_every_score_equals_the_plain_one(spark, name, module, plain):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    model = module.learn(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == texts.keys()
+    for doc_id, r in got.items():
+        assert math.isclose(r.score, plain(model, texts[doc_id]), rel_tol=1e-3, abs_tol=1e-4)
+        assert r.predicted == (r.score >= module.THRESHOLD)
+
+
+def test_toxic_texts_are_found_and_long_clean_ones_kept(spark):
+    docs, labels = table(spark, "documents", FOLDER), table(spark, "labels", FOLDER)
+    model = toxicity.learn(docs, labels)
+    held = labels.filter(held_out("doc_id")).join(docs, "doc_id").select("text", "toxic").collect()
+    found = [model.score(r.text) >= 0.3 for r in held if r.toxic == 1]
+    alarms = [model.score(r.text) >= 0.3 for r in held if r.toxic == 0]
+    assert np.mean(found) >= 0.72 and np.mean(alarms) <= 0.01
+    clean = [r.text for r in held if r.toxic == 0 and model.score(r.text) < 0.3]
+    joined, at = "", 0
+    while len(joined) < 100_000:
+        joined, at = joined + clean[at % len(clean)] + "\n", at + 1
+    assert model.score(joined) < 0.3
+    worst = max((r.text for r in held if r.toxic == 1), key=model.score)
+    assert model.score(joined + worst) >= model.score(worst) >= 0.5
+    toy = toxic_model()
+    assert toy.score("Fine words here. Nice line 3. " * 40_000) < 0.3 <= toy.score(
+        "Fine words here. " * 60_000 + "What a grobtix7!")
 
 
 def test_toxicity_edge_cases(spark):
