@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,25 +97,70 @@ def phrase_tokens(df: DataFrame, text: str, tokenizer: str | Tokenizer = "TokenB
     return df.sparkSession.range(1).select(tokens(F.lit(text), tokenizer)).head()[0]
 
 
-def match_phrase(index: DataFrame, id_col: str, phrase: list[str]) -> DataFrame:
-    """Documents where the tokens follow one another, with the number of such places.
+def _starts(index: DataFrame, id_col: str, runs: list[list[str]]) -> DataFrame:
+    """Where each run of tokens starts: id, section if there is one, ``_run``, ``_start``, and its
+    ``weight`` or 1.
 
-    Every hit votes for the place where its phrase would start; a place with all votes is a match.
-    One scan and one grouping, however long the phrase.
+    Every hit votes for the places where its run would start; a place with all votes is a match.
+    One scan and one grouping, however many and long the runs.
     """
-    places: dict[str, list[int]] = {}
-    for at, token in enumerate(phrase):
-        places.setdefault(token, []).append(at)
-    offsets = F.lit(None).cast("array<int>")
+    places: dict[str, list[tuple[int, int]]] = {}
+    for number, run in enumerate(runs):
+        for at, token in enumerate(run):
+            places.setdefault(token, []).append((number, at))
+    votes_of = F.lit(None).cast("array<struct<run: int, at: int>>")
     for token, at in places.items():
-        offsets = F.when(F.col("token") == token, F.array(*[F.lit(a) for a in at])) \
-            .otherwise(offsets)
+        votes_of = F.when(F.col("token") == token, F.array(*[
+            F.struct(F.lit(n).alias("run"), F.lit(a).alias("at")) for n, a in at])).otherwise(votes_of)
     section = ["section"] if "section" in index.columns else []
+    weight = F.col("weight") if "weight" in index.columns else F.lit(1)
     votes = index.filter(F.col("token").isin(list(places))).select(
-        id_col, *section, "position", F.explode(offsets).alias("_at"))
-    starts = votes.groupBy(id_col, *section, (F.col("position") - F.col("_at")).alias("_start")) \
-        .agg(F.count("*").alias("_votes")).filter(F.col("_votes") == len(phrase))
-    return starts.groupBy(id_col).agg(F.count("*").cast("int").alias("_score"))
+        id_col, *section, "position", weight.alias("weight"), F.explode(votes_of).alias("_vote"))
+    start = (F.col("position") - F.col("_vote.at")).alias("_start")
+    votes = votes.select(id_col, *section, F.col("_vote.run").alias("_run"), start, "weight")
+    if all(len(run) == 1 for run in runs):
+        return votes
+    size = F.element_at(F.array(*[F.lit(len(run)) for run in runs]), F.col("_run") + 1)
+    return votes.groupBy(id_col, *section, "_run", "_start").agg(
+        F.count("*").alias("_votes"), F.max("weight").alias("weight")) \
+        .filter(F.col("_votes") == size).drop("_votes")
+
+
+def match_phrase(index: DataFrame, id_col: str, phrase: list[str]) -> DataFrame:
+    """Documents where the tokens follow one another, with the number of such places, or the sum of
+    their weights where the index carries them."""
+    return match_phrases(index, id_col, [phrase])
+
+
+def match_phrases(index: DataFrame, id_col: str, phrases: list[list[str]]) -> DataFrame:
+    """Documents that hold any of the phrases, with ``_score`` over all of them."""
+    return _starts(index, id_col, phrases).groupBy(id_col) \
+        .agg(F.sum("weight").cast("int").alias("_score"))
+
+
+def near(index: DataFrame, id_col: str, terms: list[list[str]], distance: int = 10) -> DataFrame:
+    """Documents where all terms, each a run of tokens, stand within ``distance`` tokens; ``_span``
+    is the smallest such distance. Only postings of the terms are read.
+
+    One pass over the terms' places in a document, in order, carries the last place of every term;
+    the span that ends at a place reaches back to the oldest of them.
+    """
+    terms = [list(t) for t in dict.fromkeys(map(tuple, terms)) if t]
+    if not terms:
+        raise ValueError("near needs at least one term")
+    section = ["section"] if "section" in index.columns else []
+    so_far = Window.partitionBy(id_col, *section).orderBy("_start") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = [F.last(F.when(F.col("_run") == i, F.col("_start")), ignorenulls=True).over(so_far)
+            for i in range(len(terms))]
+    placed = _starts(index, id_col, terms).select(
+        id_col, "_start", *[at.alias(f"_last{i}") for i, at in enumerate(last)])
+    names = [f"_last{i}" for i in range(len(terms))]
+    oldest = F.least(*names) if len(names) > 1 else F.col(names[0])
+    whole = [F.col(name).isNotNull() for name in names]
+    return placed.filter(reduce(Column.__and__, whole)).groupBy(id_col) \
+        .agg(F.min(F.col("_start") - oldest).cast("int").alias("_span")) \
+        .filter(F.col("_span") <= distance)
 
 
 def _is_vector(df: DataFrame, column: str) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from seekframe.functions.predicates import all_of, any_of
 from seekframe.functions.text import matches, matches_any, score
 from seekframe.operators import facets as fc
 from seekframe.operators import paging as pg
+from seekframe.operators.skew import join_lookup
+
+if TYPE_CHECKING:
+    from seekframe.sources.column_index import ColumnIndex
 
 
 def select_rows(df: DataFrame, *conditions: Column, **keywords: str) -> DataFrame:
@@ -44,25 +49,38 @@ class SearchResult:
     facets: dict[str, DataFrame]
 
 
+def _facet(rows: DataFrame, column: str, id_col: str, options: dict | None) -> DataFrame:
+    facets = fc.drilldown(rows, column, id_col)
+    return facets if options is None else fc.facet_page(facets, **options)
+
+
 def search(df: DataFrame, *conditions: Column, query: str | list[str] | None = None,
            match_columns: dict[str, int] | list[str] | None = None,
            filters: list[Column] | None = None, sort_by: list[str] | None = None,
            limit: int | None = None, offset: int = 0, output_columns: list[str] | None = None,
            drilldown: list[str] | None = None, id_col: str = "_id",
+           index: ColumnIndex | None = None, facet_options: dict | None = None,
            **keywords: str) -> SearchResult:
     """A whole selection in one call.
 
+    With ``index`` the query is looked up there instead of in the texts: terms match whole runs of
+    tokens, the index's columns and their weights count, and the rows are found by a join with the
+    hits. ``facet_options`` (sort, offset, limit, output columns) shape the pages of the facets.
+
     ``query``, a text or several of which any may match, is looked for in ``match_columns`` (a
     list, or names with weights) and adds ``_score``. Conditions, query and filters all restrict the rows; facets count every selected
     row, whatever the page shows.
     """
     rows = select_rows(df, *conditions, **keywords)
-    if query is not None:
+    terms = [query] if isinstance(query, str) else list(query or [])
+    if query is not None and index is not None:
+        hits = index.search(terms).withColumnRenamed(index.id_col, id_col)
+        rows = join_lookup(rows, hits, id_col, salts=1)
+    elif query is not None:
         if not match_columns:
             raise ValueError("a query needs match_columns")
         weights = match_columns if isinstance(match_columns, dict) \
             else {name: 1 for name in match_columns}
-        terms = [query] if isinstance(query, str) else list(query)
         columns = [F.col(c) for c in weights]
         rows = rows.filter(any_of([matches_any(columns, term) for term in terms])) \
             .withColumn("_score", score(weights, terms))
@@ -72,5 +90,5 @@ def search(df: DataFrame, *conditions: Column, query: str | list[str] | None = N
     return SearchResult(
         page=project(shown, *(output_columns or [])),
         total=rows.agg(F.count("*").alias("all_len")),
-        facets={c: fc.drilldown(rows, c, id_col) for c in drilldown or []},
+        facets={c: _facet(rows, c, id_col, facet_options) for c in drilldown or []},
     )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from seekframe import schema as sc
 from seekframe.operators import mutate
 from seekframe.operators.rows import assign_row_id
+from seekframe.operators.select import search
 from seekframe.plans import sql
 from seekframe.plans.registry import query
 from seekframe.session import scratch_path
@@ -235,3 +236,33 @@ def index_in_step(t):
     store.delete(name, where=C("size") < 5)
     return store.scan(name).select("_id", "_key").join(index.match(_PART_TERMS), "_id") \
         .select("_key", "_score")
+
+
+TYPED = sc.declare({"name": sc.Field("Text"), "kind": sc.Field("Text"), "size": sc.Field("Int32")})
+_TYPED_TOKENS = " UNION ALL ".join(
+    f"""SELECT p_partkey, {weight} AS weight FROM ({sql.postings('part', 'p_partkey', sql.token_list(column))})
+        WHERE token IN ('ring', 'promo')""" for column, weight in {"p_name": 10, "p_type": 3}.items())
+
+
+@query(f"""WITH hits AS (SELECT p_partkey, CAST(sum(weight) AS INTEGER) AS _score
+                         FROM ({_TYPED_TOKENS}) GROUP BY p_partkey),
+                rows AS (SELECT p_partkey, _score, p_size FROM hits JOIN part USING (p_partkey)
+                         WHERE p_size > 10)
+           SELECT 'page' AS part, CAST(p_partkey AS VARCHAR) AS _key, _score::BIGINT AS n FROM (
+               SELECT * FROM rows ORDER BY _score DESC, p_partkey LIMIT 20)
+           UNION ALL
+           SELECT * FROM (SELECT 'size', CAST(p_size AS VARCHAR), count(*) AS n FROM rows GROUP BY p_size
+                          ORDER BY n DESC, min(p_partkey) LIMIT 5)""")
+def search_indexed(t):
+    """A selection whose query is answered by a weighted index: page, and the largest facets."""
+    parts = t.part.select(C("p_partkey").cast("string").alias("_key"), C("p_name").alias("name"),
+                          C("p_type").alias("kind"), C("p_size").alias("size"),
+                          C("p_partkey").alias("at"))
+    store, name = _stored(t, "typed", TYPED, parts, "at")
+    index = store.index(name, {"name": 10, "kind": 3}, buckets=8)
+    found = search(store.scan(name), C("size") > 10, query=["Ring", "promo"], index=index,
+                   sort_by=["-_score"], limit=20, output_columns=["_key", "_score"], drilldown=["size"],
+                   facet_options={"sort_by": ["-_nsubrecs"], "limit": 5})
+    page = found.page.select(F.lit("page").alias("part"), "_key", C("_score").cast("long").alias("n"))
+    return page.unionAll(found.facets["size"].select(
+        F.lit("size"), C("_key").cast("string"), C("_nsubrecs")))

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import text as tx
 from seekframe.functions.tokens import words
+from seekframe.operators import index, search
 from seekframe.operators import paging as pg
-from seekframe.operators import search
 from seekframe.plans import sql
 from seekframe.plans.registry import query
 
@@ -124,6 +124,13 @@ def match_near(t):
     return search.near(t.texts, "text", "that WITH from").select("doc_id", "_span")
 
 
+@query(_near_sql(["that", "with", "from"], 10))
+def near_from_index(t):
+    """As ``match_near``, from the postings of the terms alone."""
+    terms = ["that", "with", "from"]
+    return index.near(index.read_index(t.spark, t.stored_index, terms), "doc_id", [[w] for w in terms])
+
+
 _LIKE = "The house of the people was in the city and they were there for that time with others"
 
 

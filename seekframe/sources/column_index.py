@@ -121,10 +121,28 @@ class ColumnIndex:
         """``id, _score`` of the records that hold any (or all) of the terms."""
         return ix.match_terms(self.postings(terms), self.id_col, terms, require_all)
 
+    def _cut(self, texts: list[str]) -> list[list[str]]:
+        """Each query text as tokens, by the rules of the indexed texts."""
+        one = self.spark.range(1)
+        return [run for run in (ix.phrase_tokens(one, t, self.tokenizer) for t in texts) if run]
+
     def phrase(self, text: str) -> DataFrame:
         """``id, _score`` of the records in which the tokens of ``text`` follow one another."""
-        tokens = ix.phrase_tokens(self.spark.range(1), text, self.tokenizer)
-        return ix.match_phrase(self.postings(tokens), self.id_col, tokens)
+        return self.search([text])
+
+    def search(self, texts: list[str]) -> DataFrame:
+        """``id, _score`` of the records that hold any of ``texts``, each as a run of tokens; scores
+        count the places by the weights of their columns."""
+        runs = self._cut(texts)
+        found = self.postings([token for run in runs for token in run])
+        return ix.match_phrases(found, self.id_col, runs or [[""]])
+
+    def near(self, text: str, distance: int = 10) -> DataFrame:
+        """``id, _span`` of the records in which all blank-separated terms of ``text`` stand within
+        ``distance`` tokens of one column. No text is read."""
+        runs = self._cut(text.split())
+        return ix.near(self.postings([token for run in runs for token in run]), self.id_col, runs,
+                       distance)
 
     def compact(self, buckets: list[int] | None = None) -> None:
         """Overwrite ``buckets``, or all, with their valid postings in one sorted run each. Markers

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seekframe import schema as sc
 from seekframe.operators import index as ix
+from seekframe.operators import search, select
 from seekframe.sources.store import TableStore
 
 NOTES = sc.declare({"title": sc.Field(), "body": sc.Field("Text"), "n": sc.Field("Int32")})
@@ -216,3 +217,34 @@ def test_a_lookup_opens_the_buckets_of_its_terms(spark, filled):
     plan = index.postings(["some"])._jdf.queryExecution().toString()
     scans = [line for line in plan.splitlines() if "PartitionFilters" in line and "_bucket" in line]
     assert scans and "token" in plan.split("PushedFilters")[1]
+
+
+def test_searches_through_an_index(spark, filled):
+    store, name = filled
+    store.load(name, notes(spark, [("p1", "red fox", "the quick red fox", 1), ("p2", "fox", "red. the fox", 2),
+                                   ("p3", "", "quick fox runs far from the red one", 3)]))
+    index = store.index(name, {"title": 10, "body": 3})
+    keys = dict(store.scan(name).select("_id", "_key").collect())
+    got = lambda df: {keys[r[0]]: r[1] for r in df.collect()}
+    assert got(index.search(["red fox"])) == {"p1": 13}
+    assert got(index.search(["Fox", "far from"])) == {"p1": 13, "p2": 13, "p3": 6}
+    assert got(index.near("red fox", 3)) == {"p1": 1, "p2": 3}
+    assert got(index.near("fox", 3)) == {"p1": 0, "p2": 0, "p3": 0}
+    assert got(index.near("red nowhere", 9)) == {} == got(index.search(["nowhere at all"]))
+    found = select.search(store.scan(name), F.col("n") > 1, query=["fox"], index=index,
+                          sort_by=["-_score"], output_columns=["_key", "_score"], drilldown=["title"],
+                          facet_options={"sort_by": ["-_key"], "limit": 1, "output_columns": ["_key"]})
+    assert [tuple(r) for r in found.page.collect()] == [("p2", 13), ("p3", 3)]
+    assert found.total.head()[0] == 2 and [r[0] for r in found.facets["title"].collect()] == ["fox"]
+
+
+def test_near_from_postings_equals_near_on_texts(spark):
+    draw = random.Random(8)
+    rows = [(i, " ".join(draw.choices(["a", "b", "c", "bird", "fly", "x,y"], k=draw.randint(0, 30))))
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "_id long, body string")
+    postings = ix.build_postings(df, "_id", ["body"])
+    for text in ("a b", "a b c", "bird", "x,y fly a"):
+        terms = [ix.phrase_tokens(df, t, "TokenBigram") for t in text.split()]
+        want = {(r["_id"], r["_span"]) for r in search.near(df, "body", text, 6).collect()}
+        assert {tuple(r) for r in ix.near(postings, "_id", terms, 6).collect()} == want and want
