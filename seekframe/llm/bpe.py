@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 from seekframe.llm.pieces import KEPT_CHARS, PIECE, Generations, encoded, encoded_apart, valid
 from seekframe.session import spread
 
-KEPT_WORDS = 100_000
+KEPT_WORDS = 200_000
 _END = ""  # stands for the end-of-word suffix, outside the byte alphabet
 
 
@@ -60,7 +60,9 @@ class Encoder:
         self.automaton.make_automaton()
         self.shorter: dict[int, int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
+        # Two generations of words: when the younger is full it becomes the older one.
         self.words: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         self.names = {vocabulary[name]: name for name in names} | {
             i: text for text, i in self.added.items()}
 
@@ -141,10 +143,12 @@ class Encoder:
         for word, _ in self.split(self.normalize(text)):
             found = self.words.get(word)
             if found is None:
-                found = self.word(word + _END if self.suffix else word)
+                found = self.older.get(word)
+                if found is None:
+                    found = self.word(word + _END if self.suffix else word)
                 if len(word) <= KEPT_CHARS:
                     if len(self.words) >= KEPT_WORDS:
-                        self.words.clear()
+                        self.words, self.older = {}, self.words
                     self.words[word] = found
             out += found
         return out
