@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from seekframe.session import materialise
 
 SCALE = 256.0
-ROWS, QUERIES = 8192, 1024  # of a block
-LIMIT = 1 << 26  # quantised components are held within this, so scores fit 64 bits
+ROWS, QUERIES = 8192, 8192  # of a block, at most
+LIMIT = (1 << 63) - 1  # of a component and of a returned score
+LIMB = 45  # bits; the order of scores is kept in three limbs, as scores may pass 64 bits
 
 
 class Slices:
@@ -29,13 +30,15 @@ class Slices:
     def __init__(self, values: np.ndarray):
         self.values, (self.rows, attributes) = values, values.shape
         self.least = values.min(axis=0) if self.rows else np.zeros(attributes, dtype=np.int64)
-        shifted = values - self.least
+        # The distance to the least value takes all 64 bits at most.
+        shifted = values.astype(np.uint64) - self.least.astype(np.uint64)
         self.bits = max(1, int(shifted.max(initial=0)).bit_length())
+        self.size = max(abs(int(values.min(initial=0))), int(values.max(initial=0)))
         words = -(-self.rows // 64)
-        padded = np.zeros((words * 64, attributes), dtype=np.int64)
+        padded = np.zeros((words * 64, attributes), dtype=np.uint64)
         padded[:self.rows] = shifted
         columns = np.ascontiguousarray(padded.T)
-        planes = np.stack([np.packbits((columns >> b & 1).astype(np.uint8), axis=1,
+        planes = np.stack([np.packbits((columns >> np.uint64(b) & np.uint64(1)).astype(np.uint8), axis=1,
                                        bitorder="little").view("<u8")
                            for b in range(self.bits)], axis=1)
         # A negative factor adds the complement, which differs from its product by a constant.
@@ -93,6 +96,13 @@ class Slices:
         return chosen
 
 
+    def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Whole scores; Python numbers where 64 bits might not hold them."""
+        most = self.size * int(np.abs(query).max(initial=0)) * max(1, len(query))
+        kind = np.int64 if most <= LIMIT else object
+        return self.values[rows].astype(kind) @ query.astype(kind)
+
+
 def _rows(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
@@ -106,9 +116,9 @@ def _matrix(values: pd.Series, width: int) -> np.ndarray:
 
 
 def quantised(vector: str) -> Column:
-    """floor(256 * x) of each component, x as double."""
+    """floor(256 * x) of each component, x as double; what 64 bits cannot hold is held at their limit."""
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
-    return F.transform(whole, lambda x: F.greatest(F.least(x, F.lit(LIMIT)), F.lit(-LIMIT)).cast("int"))
+    return F.transform(whole, lambda x: F.greatest(x, F.lit(-LIMIT)))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id",
@@ -116,46 +126,61 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "v
     """``query_id, rank, vec_id, score``: the ``k`` best other rows for each query row, exactly.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do null ids.
-    Rows with one id are one vector, the smallest. Vectors of different length are compared as if
-    filled with zeros. Quantised components are held within +-2^26. With fewer than ``k`` others
-    all are returned; ties go to the smaller id. Extra columns are left out.
-
-    Rows and queries are cut into blocks by a hash of the id; every pair of blocks is one small
-    task that returns ``k`` rows a query, so neither side is collected or broadcast.
+    Every row is a candidate, also where rows share an id; no row is one for queries of its own id.
+    Query rows that share an id are one query, answered by the best of all their scores. Vectors of
+    different length are compared as if filled with zeros. With fewer than ``k`` others all are
+    returned; ties go to the smaller id. Scores beyond 64 bits rank by their true size and are
+    returned as the limit of a long. Extra columns are left out.
+
+    Rows and queries are cut into blocks by a hash of the row; every pair of blocks returns ``k``
+    rows a query, so neither side is collected or broadcast. A task walks several pairs, so their
+    number does not set the number of tasks.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector).alias("v"),
-                          is_query.alias("q"))
+                          F.coalesce(is_query, F.lit(False)).alias("q"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & good)
-    rows = rows.groupBy("id").agg(F.min("v").alias("v"),
-                                  F.max(F.coalesce("q", F.lit(False))).alias("q"))
-    rows = materialise(rows.select("id", quantised("v").alias("v"), "q"), "topk-rows")
-    total, queries, width = rows.agg(F.count("*"), F.count_if("q"), F.max(F.size("v"))).head()
-    row_blocks, query_blocks = -(-total // ROWS) or 1, -(-queries // QUERIES) or 1
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    rows = materialise(rows.select("id", quantised("v").alias("v"), "q",
+                                   F.monotonically_increasing_id().alias("n")), "topk-rows")
+    size = F.greatest(F.array_max("v"), -F.array_min("v"))
+    total, queries, width, most = rows.agg(
+        F.count("*"), F.count_if("q"), F.max(F.size("v")), F.max(size)).head()
+    if (most or 0) < 1 << 31:  # half the bytes to shuffle
+        rows = rows.withColumn("v", F.col("v").cast("array<int>"))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    row_blocks = -(-total // ROWS) or 1
+    # At least two cells a core where there are few, so that none waits for the last.
+    query_blocks = max(-(-queries // QUERIES), min(queries, -(-2 * cores // row_blocks)), 1)
+    block = lambda n: F.pmod(F.xxhash64("n"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     side = rows.select("id", "v", F.lit(False).alias("ask"), block(row_blocks).alias("r"),
                        each(query_blocks).alias("c"))
     asked = rows.filter("q").select("id", "v", F.lit(True).alias("ask"), each(row_blocks).alias("r"),
                                     block(query_blocks).alias("c"))
-    fields = "query_id long, vec_id long, score long"
+    fields = "query_id long, vec_id long, score long, high long, mid long, low long"
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         ask = part["ask"].to_numpy()
-        held, asked = part[~ask].sort_values("id"), part[ask]
-        ids = held["id"].to_numpy()
+        held, asked = part[~ask].sort_values("id", kind="stable"), part[ask]
+        ids = held["id"].to_numpy(dtype=np.int64)
         slices = Slices(_matrix(held["v"], width))
         found = []
         for who, query in zip(asked["id"], _matrix(asked["v"], width)):
             allowed = slices.valid
-            own = int(np.searchsorted(ids, who))
-            if own < len(ids) and ids[own] == who:
-                allowed = allowed.copy()
-                allowed[own // 64] &= ~(np.uint64(1) << np.uint64(own % 64))
+            own = np.arange(np.searchsorted(ids, who), np.searchsorted(ids, who, "right"))
+            if len(own):
+                bits = np.zeros(len(allowed) * 64, dtype=np.uint8)
+                bits[own] = 1
+                allowed = allowed & ~np.packbits(bits, bitorder="little").view("<u8")
             top = slices.top(query, k, allowed)
-            found.append(np.stack([np.full(len(top), who), ids[top], slices.values[top] @ query]))
-        out = np.concatenate(found, axis=1) if found else np.zeros((3, 0), dtype=np.int64)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), out)))
+            score = slices.scores(top, query)
+            low = (1 << LIMB) - 1
+            found.append(np.stack([np.full(len(top), who), ids[top],
+                                   np.clip(score, -LIMIT - 1, LIMIT).astype(np.int64),
+                                   (score >> 2 * LIMB if score.dtype == object else score >> 63).astype(np.int64),
+                                   (score >> LIMB & low).astype(np.int64), (score & low).astype(np.int64)]))
+        out = np.concatenate(found, axis=1) if found else np.zeros((6, 0), dtype=np.int64)
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", "high", "mid", "low"), out)))
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: list[pd.DataFrame] = []
@@ -171,8 +196,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "v
         if rest:
             yield compare(pd.concat(rest))
 
-    best = side.unionAll(asked).repartition(max(1, row_blocks * query_blocks), "r", "c") \
+    tasks = min(row_blocks * query_blocks, max(4 * cores, int(
+        vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    best = side.unionAll(asked).repartition(tasks, "r", "c") \
         .sortWithinPartitions("r", "c").mapInPandas(cells, fields)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("mid"), F.desc("low"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
