@@ -31,6 +31,7 @@ _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
+_START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
 
 def write_archive(pages: DataFrame, path: str, id_column: str = "page_id", url: str = "url",
@@ -120,35 +121,52 @@ def _record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     return end + 4, header, payload
 
 
-def _next_after(data: bytes, at: int) -> int:
-    """Where the record at ``at`` ends by its own header, if a valid record or the end follows."""
+def _next_after(data: bytes, at: int, starts) -> int:
+    """Where the record at ``at`` ends by its own header, if a valid start or the end follows."""
     stop = data.find(b"\r\n\r\n", at)
     length = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]{1,15})\r\n", data[at:stop + 2]) \
         if stop >= 0 and _VERSION.match(data, at) else None
     end = stop + 8 + int(length[1]) if length else -1
-    if end == len(data) or 0 <= end < len(data) and not isinstance(_record(data, end), str):
+    return end if end == len(data) or 0 <= end < len(data) and starts(data, end) else -1
+
+
+def _starts_record(data: bytes, at: int) -> bool:
+    return not isinstance(_record(data, at), str)
+
+
+def _starts_any(data: bytes, at: int) -> bool:
+    """Whether a valid record stands at ``at``, or a member whose content begins with one."""
+    if not data.startswith(_MEMBER, at):
+        return _starts_record(data, at)
+    try:  # a few bytes tell most other gzip data, such as a packed payload
+        head = zlib.decompressobj(31).decompress(memoryview(data)[at:at + 4096], 16)
+    except zlib.error:
+        return False
+    return bool(_VERSION.match(head)) and _starts_record(_member(data, at)[1], 0)
+
+
+def _damaged(data: bytes, at: int, starts) -> int:
+    """Where the next record or member begins, whichever it is, or the end of the data."""
+    # An intact frame around damaged content is skipped whole: its content may hold text that looks
+    # like a record.
+    end = _next_after(data, at, starts)
+    if end >= 0:
         return end
-    return -1
+    return next((m.start() for m in _START.finditer(data, at + 1) if starts(data, m.start())),
+                len(data))
 
 
 def _plain(data: bytes) -> Iterator[Found]:
+    """Records and gaps of a member's content."""
     at = 0
     while at < len(data):
         got = _record(data, at)
-        if not isinstance(got, str):
-            yield Found(at, got[0] - at, "", got[1], got[2])
-            at = got[0]
-            continue
-        # An intact frame around damaged content is skipped whole: its content may hold text that
-        # looks like a record.
-        end = _next_after(data, at)
-        if end < 0:
-            end = len(data)
-            for found in _VERSION.finditer(data, at + 1):
-                if not isinstance(_record(data, found.start()), str):
-                    end = found.start()
-                    break
-        yield Found(at, end - at, got)
+        if isinstance(got, str):
+            end = _damaged(data, at, _starts_record)
+            yield Found(at, end - at, got)
+        else:
+            end = got[0]
+            yield Found(at, end - at, "", *got[1:])
         at = end
 
 
@@ -167,37 +185,30 @@ def _member(data: bytes, at: int) -> tuple[int, bytes, str]:
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """All valid records of a plain or gzipped archive and the gaps between them, in order.
+    """All valid records of an archive and the gaps between them, in order.
 
-    Every byte belongs to exactly one record, member or gap. An empty file has neither.
+    Each place is read as what stands there, a plain record or a gzip member, so one file may hold
+    both, and gzip's first bytes inside a payload do not change how the rest is read. Every byte
+    belongs to exactly one record, member or gap. An empty file has neither.
     """
-    if not _MEMBER.startswith(data[:3]) and _MEMBER not in data:
-        yield from _plain(data)
-        return
-    if _VERSION.match(data):
-        yield from _plain(data)
-        return
     at = 0
     while at < len(data):
-        end, content, error = _member(data, at) if data.startswith(_MEMBER, at) \
-            else (-1, b"", "no member")
-        records = [f for f in _plain(content)]
-        if not error:
-            for f in records:
-                yield Found(at, end - at, f.reason, f.header, f.payload)
-            at = end
-            continue
-        for f in records:  # whole records before the damage
-            if not f.reason:
-                yield Found(at, 0, "", f.header, f.payload)
-        following = data.find(_MEMBER, at + 1)
-        while following >= 0:
-            stop, content, broken = _member(data, following)
-            if _VERSION.match(content) and not isinstance(_record(content, 0), str):
-                break
-            following = data.find(_MEMBER, following + 1)
-        end = following if following >= 0 else len(data)
-        yield Found(at, end - at, error)
+        if data.startswith(_MEMBER, at):
+            end, content, error = _member(data, at)
+            for f in _plain(content):
+                if not error:
+                    yield Found(at, end - at, f.reason, f.header, f.payload)
+                elif not f.reason:  # whole records before the damage
+                    yield Found(at, 0, "", f.header, f.payload)
+        else:
+            got = _record(data, at)
+            error = got if isinstance(got, str) else ""
+            if not error:
+                end = got[0]
+                yield Found(at, end - at, "", *got[1:])
+        if error:
+            end = _damaged(data, at, _starts_any)
+            yield Found(at, end - at, error)
         at = end
 
 

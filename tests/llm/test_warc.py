@@ -83,6 +83,33 @@ def test_gzip_members():
     assert ids == list("01") and len(gaps) == 1
 
 
+def test_plain_and_gzip_bytes_in_one_file():
+    """First bytes of gzip in a payload, and members between plain records, cost nothing."""
+    parts = [record(b"\x1f\x8b\x08" * 9 + b"%d" % i, i) for i in range(3)]
+    whole = b"".join(parts)
+    ids, gaps = shown(b"X" + whole[1:])
+    assert ids == ["1", "2"] and gaps == [(0, len(parts[0]), "no version line")]
+    packed = record(gzip.compress(b"packed page" * 50), 3)
+    member = gzip.compress(record(b"member", 4))
+    mixed = [parts[0], packed, member, parts[1], member, parts[2]]
+    starts = [sum(map(len, mixed[:i])) for i in range(7)]
+    assert shown(b"".join(mixed)) == (list("034142"), [])
+    draw = random.Random(5)
+    for n in range(120):
+        hit = n % 6
+        inside = draw.randrange(len(mixed[hit]))
+        if mixed[hit].startswith(b"WARC") and 10 <= inside < mixed[hit].index(b"\r\n\r\n") + 4:
+            continue  # header lines have no check of their own
+        at = starts[hit] + inside
+        data = bytearray(b"".join(mixed))
+        data[at] ^= 1 << draw.randrange(8)
+        ids, gaps = shown(bytes(data))
+        rest = [n for i, n in enumerate("034142") if i != hit]
+        # The time in a member's header has no check either.
+        assert (ids == rest and [g[:2] for g in gaps] == [(starts[hit], len(mixed[hit]))]) \
+            or (not gaps and len(ids) == 6), (at, hit, ids, gaps)
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
