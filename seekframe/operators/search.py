@@ -1,4 +1,4 @@
-"""Search operators that look at whole token lists: escalation, near, similar, term extraction."""
+"""Search operators that look at whole token lists: escalation, near, similar."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seekframe.functions.text import matches
-from seekframe.functions.tokens import Tokenizer, add_once, tokens, with_tokens, word_ngrams, words
-from seekframe.operators.skew import BROADCAST_ROWS, join_lookup
+from seekframe.functions.tokens import Tokenizer, add_once, tokens, with_tokens, words
 
 
 def match_escalation(df: DataFrame, column: str, term: str, threshold: int,
@@ -96,20 +95,3 @@ def similar(df: DataFrame, column: str, text: str, threshold: float = 0.1) -> Da
     union = F.size(mine) + F.size(theirs) - F.col("_common")
     return rows.withColumn("_similarity", F.round(F.try_divide(F.col("_common"), union), 6)) \
         .drop("_mine", "_common").filter(F.col("_similarity") >= threshold)
-
-
-def term_extract(df: DataFrame, id_col: str, column: str, vocabulary: DataFrame,
-                 term_col: str = "_key", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Vocabulary terms that occur in each text, with their counts, as their words joined by blanks.
-
-    Terms are cut into words like the texts, so case and signs do not matter; the longest tells how
-    long word runs are formed. Word runs meet the vocabulary before anything is counted, so only real terms are shuffled. A
-    big vocabulary is joined on (term, salt), which also spreads the counting of a frequent term.
-    """
-    listed = add_once(df.select(id_col, column), "_words", words(F.col(column)))
-    named = vocabulary.select(words(F.col(term_col)).alias("_words"))
-    longest = named.agg(F.max(F.size("_words"))).head()[0] or 1
-    grams = listed.select(id_col, F.explode(word_ngrams(F.col("_words"), max(1, longest))).alias("term"))
-    terms = named.select(F.array_join("_words", " ").alias("term")).filter("term <> ''").distinct()
-    found = join_lookup(grams, terms, "term", broadcast_rows=broadcast_rows)
-    return found.groupBy(id_col, "term").agg(F.count("*").alias("n"))

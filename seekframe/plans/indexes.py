@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from seekframe.functions.tokens import TOKENIZERS, postings
+from seekframe.operators import impacts
 from seekframe.operators import index as ix
 from seekframe.plans import sql
 from seekframe.plans.registry import query
@@ -158,3 +159,15 @@ def index_match(t):
 def index_phrase(t):
     phrase = ix.phrase_tokens(t.documents, "Of the")
     return ix.match_phrase(ix.read_index(t.spark, t.stored_index, phrase), "doc_id", phrase)
+
+
+@query(f"""WITH scored AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS _score
+               FROM ({sql.postings('documents', 'doc_id', _TOKENS)})
+               WHERE token IN ('und', 'für', 'the') GROUP BY doc_id)
+           SELECT doc_id, _score, CAST(row_number() OVER (ORDER BY _score DESC, doc_id) AS INTEGER) AS rank
+           FROM scored ORDER BY _score DESC, doc_id LIMIT 20""")
+def index_topk(t):
+    """The best of ``index_match``, opening only ranges that can hold one."""
+    terms = ["und", "Für", "the"]
+    return impacts.top_terms(ix.read_index(t.spark, t.stored_index, terms),
+                             impacts.read_impacts(t.spark, t.stored_impacts, terms), "doc_id", terms, 20)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekframe.operators import suggest
-from seekframe.operators.index import build_postings, write_index
+from seekframe.operators.impacts import build_impacts, write_impacts
+from seekframe.operators.index import build_postings, read_index, write_index
 from seekframe.session import materialise, scratch_path, spread
 
 PAIR_DAY = 86_400  # events of one user are hours apart, so pairs are learned over a day
@@ -44,6 +45,16 @@ class Tables:
             _INDEXES[built] = path
         return _INDEXES[built]
 
+    @property
+    def stored_impacts(self) -> str:
+        """Where the impacts of that index are stored, written once like it."""
+        built = (self.spark.sparkContext.applicationId, self.folder + "#impacts")
+        if built not in _INDEXES:
+            path = scratch_path(self.spark, "impacts")
+            write_impacts(build_impacts(read_index(self.spark, self.stored_index), "doc_id", 256), path, 4)
+            _INDEXES[built] = path
+        return _INDEXES[built]
+
     @cached_property
     def log(self) -> DataFrame:
         """The event table as a query log: purchases are submits, items come from ``props``."""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import text as tx
 from seekframe.functions.tokens import words
-from seekframe.operators import index, search
+from seekframe.operators import index, search, similar, terms
 from seekframe.operators import paging as pg
 from seekframe.plans import sql
 from seekframe.plans.registry import query
@@ -127,8 +127,8 @@ def match_near(t):
 @query(_near_sql(["that", "with", "from"], 10))
 def near_from_index(t):
     """As ``match_near``, from the postings of the terms alone."""
-    terms = ["that", "with", "from"]
-    return index.near(index.read_index(t.spark, t.stored_index, terms), "doc_id", [[w] for w in terms])
+    wanted = ["that", "with", "from"]
+    return index.near(index.read_index(t.spark, t.stored_index, wanted), "doc_id", [[w] for w in wanted])
 
 
 _LIKE = "The house of the people was in the city and they were there for that time with others"
@@ -145,6 +145,18 @@ def match_similar(t):
     return search.similar(t.texts, "text", _LIKE, 0.05).select("doc_id", "_similarity")
 
 
+@query(f"""WITH bags AS MATERIALIZED (SELECT doc_id, list_distinct({sql.words('text')}) AS w FROM documents),
+                sizes AS (SELECT q.doc_id AS query_id, d.doc_id, len(q.w) AS a, len(d.w) AS b,
+                              len(list_intersect(q.w, d.w)) AS c
+                          FROM bags q JOIN bags d ON q.doc_id % 20 = 0 AND len(q.w) > 0 AND len(d.w) > 0)
+           SELECT query_id, doc_id, round(c / (a + b - c), 6) AS _similarity FROM sizes
+           WHERE round(c / (a + b - c), 6) >= 0.6""")
+def match_similar_batch(t):
+    """Every twentieth document as a query against all."""
+    asked = t.documents.filter(C("doc_id") % 20 == 0).select(C("doc_id").alias("query_id"), "text")
+    return similar.similar_batch(t.texts, "doc_id", "text", asked, "query_id", "text", 0.6)
+
+
 _VOCABULARY = f"""SELECT DISTINCT w AS term FROM (SELECT unnest({sql.words('text')}) AS w FROM benchmark)
                   UNION SELECT DISTINCT lower(p_name) FROM part"""
 
@@ -161,7 +173,7 @@ _VOCABULARY = f"""SELECT DISTINCT w AS term FROM (SELECT unnest({sql.words('text
 def term_extract(t):
     single = t.benchmark.select(F.explode(words(C("text"))).alias("_key"))
     vocabulary = single.union(t.part.select(F.lower("p_name"))).distinct()
-    return search.term_extract(t.texts, "doc_id", "text", vocabulary)
+    return terms.term_extract(t.texts, "doc_id", "text", vocabulary)
 
 
 @query(f"SELECT conv_id, turn, {sql.normalised('text')} AS text FROM conversations")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions.tokens import TOKENIZERS, tokens, word_ngrams, words
 from seekframe.operators import index as ix
-from seekframe.operators import search
+from seekframe.operators import impacts, search, similar, terms
 from seekframe.session import scratch_path
 
 C = F.col
@@ -170,17 +170,17 @@ def test_similar(spark):
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
 def test_term_extract(random_docs, spark, broadcast_rows):
     rows, df = random_docs
-    terms = ["aa", "bb cc", "gg gg gg", "zz"]
-    vocabulary = spark.createDataFrame([(t,) for t in terms], "_key string")
+    wanted = ["aa", "bb cc", "gg gg gg", "zz"]
+    vocabulary = spark.createDataFrame([(t,) for t in wanted], "_key string")
     want = {}
     for i, text in rows:
         ts = text.split()
-        for term in terms:
+        for term in wanted:
             k = len(term.split())
             n = sum(" ".join(ts[a:a + k]) == term for a in range(len(ts) - k + 1))
             if n:
                 want[i, term] = n
-    got = search.term_extract(df, "_id", "t", vocabulary, broadcast_rows=broadcast_rows)
+    got = terms.term_extract(df, "_id", "t", vocabulary, broadcast_rows=broadcast_rows)
     assert {(r["_id"], r["term"]): r["n"] for r in got.collect()} == want
 
 
@@ -199,9 +199,9 @@ def test_near_takes_terms_of_several_tokens(spark):
 
 def test_term_extract_cuts_terms_like_texts(spark):
     df = spark.createDataFrame([(1, "Arch Linux sends e-mail to new york city hall")], "_id long, body string")
-    terms = spark.createDataFrame([("Arch Linux",), ("E-Mail",), ("New York City Hall",), ("linux arch",), ("!",)],
+    listed = spark.createDataFrame([("Arch Linux",), ("E-Mail",), ("New York City Hall",), ("linux arch",), ("!",)],
                                   "_key string")
-    got = {(r["term"], r["n"]) for r in search.term_extract(df, "_id", "body", terms).collect()}
+    got = {(r["term"], r["n"]) for r in terms.term_extract(df, "_id", "body", listed).collect()}
     assert got == {("arch linux", 1), ("e mail", 1), ("new york city hall", 1)}
 
 
@@ -216,3 +216,79 @@ def test_stored_index_knows_its_buckets(spark, tmp_path, buckets):
     assert sorted(ids(ix.match_terms(held, "_id", ["Linux"]))) == [*range(20), 99]
     plan = plan_of(held)
     assert re.search(r"PartitionFilters: \[.*_bucket#", plan) and "EqualTo(token,linux)" in plan
+
+
+def test_term_extract_ends_where_no_term_goes_on(spark, monkeypatch):
+    """One term of 200 words: three levels are walked, as far as any text follows it."""
+    long = " ".join(f"w{chr(97 + i % 26)}{i}" for i in range(200))
+    longest = " ".join(words_of(long))
+    texts = [(1, "wa 0 wb 1 other words"), (2, "nothing"), (3, None), (4, ""), (4, "wa 0")]
+    df = spark.createDataFrame(texts, "_id long, body string")
+    listed = spark.createDataFrame([(long,), ("wa 0",), ("",), (None,), ("0 wb",), ("0 WB",)], "_key string")
+    written = []
+    monkeypatch.setattr(terms, "materialise", lambda d, label: written.append(label) or d.cache())
+    got = {(r["_id"], r["term"]): r["n"] for r in terms.term_extract(df, "_id", "body", listed).collect()}
+    assert got == {(1, "wa 0"): 1, (1, "0 wb"): 1, (4, "wa 0"): 1}
+    assert written.count("term-level") <= 6
+    whole = spark.createDataFrame([(9, long)], "_id long, body string")
+    assert longest in {r["term"] for r in terms.term_tree(listed).filter("term is not null").collect()}
+    assert terms.term_extract(whole.limit(0), "_id", "body", listed).collect() == []
+    assert terms.term_extract(whole, "_id", "body", listed.limit(0)).collect() == []
+
+
+def words_of(text):
+    return re.findall(r"[^\W\d_]+|\d+", text.lower())
+
+
+@pytest.mark.parametrize("threshold, broadcast_rows", [(0.2, 0), (0.5, 1000), (0.8, 1000), (1.0, 1000)])
+def test_similar_batch(spark, threshold, broadcast_rows):
+    draw = random.Random(7)
+    letters = "abcdefghijklmnopqrst"
+    common = [" ".join(draw.choices(letters, weights=range(20, 0, -1), k=draw.randint(0, 12))) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(common)] + [(200 + i, "same words in copies") for i in range(20)]
+    rows += [(300, None), (301, "copies in words same"), (302, "!"), (None, "a b c"), (0, "a b")]
+    asked = [(i, t) for i, t in rows if i is not None and i % 10 == 0] + [(900, "unknown zebra"), (901, "a b unknown")]
+    bag = lambda t: set(words_of(t or ""))
+    want = sorted((q, i, round(len(bag(a) & bag(b)) / len(bag(a) | bag(b)), 6))
+                  for q, a in asked for i, b in rows if i is not None and bag(a) and bag(b)
+                  and round(len(bag(a) & bag(b)) / len(bag(a) | bag(b)), 6) >= threshold)
+    df = spark.createDataFrame(rows, "_id long, t string").selectExpr("*", "1 AS word", "2 AS q")
+    queries = spark.createDataFrame(asked, "asker long, t string")
+    got = similar.similar_batch(df, "_id", "t", queries, "asker", "t", threshold, broadcast_rows)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert similar.similar_batch(df.limit(0), "_id", "t", queries, "asker", "t", threshold).collect() == []
+
+
+def test_similar_batch_meets_on_rare_words_only(spark):
+    """Texts that share but a frequent word are never a pair: their prefixes hold rarer ones."""
+    df = spark.createDataFrame([(i, f"the a{chr(97 + i % 26)}x b{chr(97 + i // 26)}y rare{'z' * i}") for i in range(100)],
+                               "_id long, t string")
+    sets = similar._sets(df, "_id", "t")
+    kept = similar._prefixes(sets, similar.ranked_words(sets), 0.8, 1000)
+    assert "the" not in {r.word for r in kept.collect()}
+
+
+@pytest.mark.parametrize("weights, intervals", [(False, 500), (True, 0)])
+def test_top_terms_open_few_ranges(spark, monkeypatch, tmp_path, weights, intervals):
+    monkeypatch.setattr(impacts, "INTERVALS", intervals)
+    draw = random.Random(3)
+    rows = [(i - 50, " ".join(draw.choices(["linux", "arch", "kernel", "x"], k=3)), "arch" * (i % 2)) for i in range(600)]
+    rows[400] = (350, "linux " * 9 + "arch arch", "arch")
+    rows[401] = (351, "Linux " * 8, "")
+    df = spark.createDataFrame(rows, "_id long, body string, title string")
+    columns = {"title": 10, "body": 3} if weights else ["body"]
+    index = ix.build_postings(df, "_id", columns, weights=weights)
+    ix.write_index(index, "_id", str(tmp_path / "index"), 4)
+    impacts.write_impacts(impacts.build_impacts(index, "_id", 16), str(tmp_path / "impacts"), 4)
+    for wanted, k in ((["Linux", "arch"], 1), (["kernel"], 700), (["arch", "absent"], 30), (["absent"], 3)):
+        held = ix.read_index(spark, str(tmp_path / "index"), wanted)
+        bound = impacts.read_impacts(spark, str(tmp_path / "impacts"), wanted)
+        every = sorted(((-r._score, r._id) for r in ix.match_terms(held, "_id", wanted).collect()))[:k]
+        got = [tuple(r) for r in impacts.top_terms(held, bound, "_id", wanted, k).collect()]
+        assert got == [(i, -s, n) for n, (s, i) in enumerate(every, 1)]
+    if not weights:
+        held = ix.read_index(spark, str(tmp_path / "index"), ["linux", "arch"])
+        bound = impacts.read_impacts(spark, str(tmp_path / "impacts"), ["linux", "arch"])
+        opened = impacts.opened_ranges(held, bound, "_id", ["linux", "arch"], 2)
+        read = impacts._within(held, "_id", opened).count()
+        assert opened.count() == 1 and read < held.count() / 20
