@@ -88,20 +88,20 @@ def _cut(text: Column, spec: Tokenizer) -> Column:
     return F.when(text.rlike(f"[{WIDE}]"), mixed).otherwise(plain)
 
 
-def _spec(tokenizer: str | Tokenizer) -> Tokenizer:
+def spec_of(tokenizer: str | Tokenizer) -> Tokenizer:
     return TOKENIZERS[tokenizer] if isinstance(tokenizer, str) else tokenizer
 
 
 def tokens(col: Column, tokenizer: str | Tokenizer = "TokenBigram") -> Column:
     """Array of the tokens of ``col``."""
-    spec = _spec(tokenizer)
+    spec = spec_of(tokenizer)
     return _cut(_prepared(col, spec), spec)
 
 
 def with_tokens(df: DataFrame, text_col: str, tokenizer: str | Tokenizer = "TokenBigram",
                 into: str = "_tokens") -> DataFrame:
     """Add the token array; text is prepared once and cut once, however often it is used later."""
-    spec = _spec(tokenizer)
+    spec = spec_of(tokenizer)
     prepared = df.withColumn("_text", _prepared(F.col(text_col), spec))
     return add_once(prepared, into, _cut(F.col("_text"), spec)).drop("_text")
 
@@ -132,7 +132,7 @@ def word_ngrams(word_list: Column, longest: int) -> Column:
 def postings(df: DataFrame, id_col: str, text_col: str,
              tokenizer: str | Tokenizer = "TokenBigram") -> DataFrame:
     """One row per token: id, token, zero-based position in the document."""
-    spec = _spec(tokenizer)
+    spec = spec_of(tokenizer)
     prepared = df.select(id_col, _prepared(F.col(text_col), spec).alias("_text"))
     return prepared.select(id_col, F.posexplode(_cut(F.col("_text"), spec))
                            .alias("position", "token")).select(id_col, "token", "position")

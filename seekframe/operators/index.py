@@ -65,11 +65,15 @@ def write_index(index: DataFrame, id_col: str, path: str, buckets: int = BUCKETS
 
 def read_index(spark: SparkSession, path: str, terms: list[str] | None = None) -> DataFrame:
     """Stored postings, or only those of ``terms``: other buckets are not opened."""
+    return read_tokens(spark, path, None if terms is None else folded(terms))
+
+
+def read_tokens(spark: SparkSession, path: str, stored: list[str] | None) -> DataFrame:
+    """As :func:`read_index`, for tokens written just as they are stored."""
     index = spark.read.parquet(path)
-    if terms is not None:
-        terms = folded(terms)
-        held = [F.col("_bucket") == _bucket(F.lit(t), F.col("_buckets")) for t in terms]
-        index = index.filter(reduce(Column.__or__, held, F.lit(False)) & F.col("token").isin(terms))
+    if stored is not None:
+        held = [F.col("_bucket") == _bucket(F.lit(t), F.col("_buckets")) for t in stored]
+        index = index.filter(reduce(Column.__or__, held, F.lit(False)) & F.col("token").isin(stored))
     return index.drop("_bucket", "_buckets")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seekframe.operators import suggest
 from seekframe.operators.impacts import build_impacts, write_impacts
 from seekframe.operators.index import build_postings, read_index, write_index
+from seekframe.operators.lexicon import held_tokens, write_lexicon
 from seekframe.session import materialise, scratch_path, spread
 
 PAIR_DAY = 86_400  # events of one user are hours apart, so pairs are learned over a day
@@ -55,6 +56,17 @@ class Tables:
             _INDEXES[built] = path
         return _INDEXES[built]
 
+    @property
+    def stored_lexicon(self) -> tuple[str, str]:
+        """Where the distinct tokens of every document are stored, and their lexicon, written once."""
+        built = (self.spark.sparkContext.applicationId, self.folder + "#lexicon")
+        if built not in _INDEXES:
+            path = scratch_path(self.spark, "lexicon")
+            write_index(held_tokens(self.texts, "doc_id", "text"), "doc_id", f"{path}/held", 16)
+            write_lexicon(read_index(self.spark, f"{path}/held"), f"{path}/lexicon", 16)
+            _INDEXES[built] = path
+        return f"{_INDEXES[built]}/held", f"{_INDEXES[built]}/lexicon"
+
     @cached_property
     def log(self) -> DataFrame:
         """The event table as a query log: purchases are submits, items come from ``props``."""

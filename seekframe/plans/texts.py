@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions import text as tx
 from seekframe.functions.tokens import words
-from seekframe.operators import index, search, similar, terms
+from seekframe.operators import index, lexicon, search, similar, terms
 from seekframe.operators import paging as pg
 from seekframe.plans import sql
 from seekframe.plans.registry import query
@@ -92,6 +92,30 @@ def match_escalation_loose(t):
     return search.match_escalation(t.texts, "text", "tio", 1000000).select("doc_id", "_tier")
 
 
+def _from_lexicon(t, term, threshold):
+    held, path = t.stored_lexicon
+    return lexicon.match_escalation(
+        t.spark, path, lambda tokens: index.read_tokens(t.spark, held, tokens),
+        t.documents.select("doc_id", "text"), "doc_id", "text", term, threshold)
+
+
+@query(_escalated("ent", 0))
+def lexicon_escalation(t):
+    """As ``match_escalation``, from the tokens' lexicon: no text is read."""
+    return _from_lexicon(t, "Ent", 0)
+
+
+@query(_escalated("tio", 1000000))
+def lexicon_escalation_loose(t):
+    return _from_lexicon(t, "tio", 1000000)
+
+
+@query(_escalated("of the", 0))
+def lexicon_escalation_blank(t):
+    """A term over a blank is looked for in the texts that hold both of its words."""
+    return _from_lexicon(t, "of The", 0)
+
+
 @query("SELECT doc_id, source FROM documents WHERE starts_with(source, 'src1')")
 def filter_startswith(t):
     return t.documents.filter(C("source").startswith("src1")).select("doc_id", "source")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seekframe.functions.tokens import TOKENIZERS, tokens, word_ngrams, words
 from seekframe.operators import index as ix
-from seekframe.operators import impacts, search, similar, terms
+from seekframe.operators import impacts, lexicon, search, similar, terms
 from seekframe.session import scratch_path
 
 C = F.col
@@ -292,3 +292,57 @@ def test_top_terms_open_few_ranges(spark, monkeypatch, tmp_path, weights, interv
         opened = impacts.opened_ranges(held, bound, "_id", ["linux", "arch"], 2)
         read = impacts._within(held, "_id", opened).count()
         assert opened.count() == 1 and read < held.count() / 20
+
+
+@pytest.mark.parametrize("tokenizer, listed, terms", [
+    ("TokenBigram", 500, ["Ab", "漢", "字カ漢", "b漢", "a b", " ", "zz"]),
+    ("TokenBigram", 0, ["a", "漢字", "a b"]),
+    ("TokenBigramSplitSymbolAlpha", 500, ["ab", "aab", "1,"]),
+    ("TokenBigramIgnoreBlankSplitAlpha", 500, ["ab", "a b"]),
+    ("TokenDelimitNull", 500, ["a b", "ab"])])
+def test_escalation_from_lexicon(spark, monkeypatch, tmp_path, tokenizer, listed, terms):
+    monkeypatch.setattr(lexicon, "LISTED", listed)
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("ab1 ,漢字カ\n'\0") for _ in range(rng.randint(0, 14))))
+            for i in range(250)] + [(900, None), (901, ""), (902, "ab漢字 aab\tb" * 2000)]
+    df = spark.createDataFrame(rows, "_id long, t string")
+    held, path = str(tmp_path / "held"), str(tmp_path / "lexicon")
+    ix.write_index(lexicon.held_tokens(df, "_id", "t", tokenizer), "_id", held, 4)
+    early = ix.read_index(spark, held).filter("_id < 100")
+    lexicon.write_lexicon(early, path, 3)
+    lexicon.extend_lexicon(ix.read_index(spark, held), path, 5)
+    stored = spark.read.parquet(f"{path}/tokens")
+    assert stored.count() == stored.select("token").distinct().count()
+    for term in terms:
+        want = search.match_escalation(df, "t", term, 60, tokenizer)
+        got = lexicon.match_escalation(
+            spark, path, lambda tokens: ix.read_tokens(spark, held, tokens), df, "_id", "t",
+            term, 60, tokenizer)
+        assert sorted(map(tuple, got.collect())) == \
+            sorted((r["_id"], r["_tier"]) for r in want.collect()), term
+
+
+def test_escalation_reads_texts_over_blanks_only(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a cat"), (2, "cats and dogs"), (3, "concat"), (4, "dog")],
+                               "_id long, t string")
+    path = str(tmp_path / "lexicon")
+    held = lexicon.held_tokens(df, "_id", "t")
+    lexicon.write_lexicon(held, path, 2)
+    asked = []
+
+    def postings(tokens):
+        asked.append(sorted(tokens))
+        return held.filter(C("token").isin(tokens))
+
+    def run(term, threshold, texts):
+        asked.clear()
+        return {tuple(r) for r in lexicon.match_escalation(
+            spark, path, postings, texts, "_id", "t", term, threshold).collect()}
+
+    none = df.filter("false")
+    assert run("cat", 0, none) == {(1, 1)} and asked == [["cat"]]
+    assert run("cat", 1, none) == {(1, 1), (2, 2)} and asked == [["cat"], ["cats"]]
+    assert run("cat", 9, none) == {(1, 1), (2, 2), (3, 3)} and asked[2] == ["concat"]
+    assert run("a cat", 0, none) == set() and run("a cat", 0, df) == {(1, 3)}
+    plan = plan_of(lexicon.tokens_starting(spark, path, "ca"))
+    assert "StringStartsWith(token,ca)" in plan
