@@ -41,7 +41,12 @@ def difference(left: Column, right: Column) -> Column:
 
 
 def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+    """At least one holds; none of no conditions. Halved again and again, so hundreds of them do not
+    nest too deep."""
+    if len(conditions) < 2:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return any_of(conditions[:half]) | any_of(conditions[half:])
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekframe.functions.predicates import any_of
 from seekframe.functions.tokens import Tokenizer, postings, tokens
 from seekframe.operators.skew import join_lookup
 
@@ -73,7 +74,7 @@ def read_tokens(spark: SparkSession, path: str, stored: list[str] | None) -> Dat
     index = spark.read.parquet(path)
     if stored is not None:
         held = [F.col("_bucket") == _bucket(F.lit(t), F.col("_buckets")) for t in stored]
-        index = index.filter(reduce(Column.__or__, held, F.lit(False)) & F.col("token").isin(stored))
+        index = index.filter(any_of(held) & F.col("token").isin(stored))
     return index.drop("_bucket", "_buckets")
 
 

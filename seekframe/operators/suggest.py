@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seekframe.operators.prefixes import PrefixStore, names_of
 from seekframe.operators.skew import (
     HOT_SHARE,
     best_of_key,
@@ -177,13 +178,10 @@ def _own_counts(items: DataFrame, asked: Asked, column: str) -> DataFrame:
 def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFrame:
     """Submitted items that start with one of ``queries`` (all or some of those asked), by key or
     by any reading: prefix = query, an equi-join. Only prefixes as long as some query are made."""
-    names = F.array(F.col("_key"))
-    if "kana" in items.columns:
-        names = F.concat(names, F.coalesce(F.col("kana"), F.array().cast("array<string>")))
     # One number per distinct length of a query.
     lengths = asked.queries.agg(F.collect_set(F.length("query"))).scalar()
     named = items.filter(F.col("freq2") > 0).select(
-        "_key", "freq2", names.alias("_names"), lengths.alias("_lengths"))
+        "_key", "freq2", names_of(items).alias("_names"), lengths.alias("_lengths"))
     starts = F.flatten(F.transform("_names", lambda name: F.transform(
         F.filter("_lengths", lambda size: (size > 0) & (size <= F.length(name))),
         lambda size: F.substring(name, F.lit(1), size))))
@@ -192,6 +190,19 @@ def _prefix_hits(items: DataFrame, asked: Asked, queries: DataFrame) -> DataFram
         .select("query", "_key", (F.col("freq2") + 1).alias("_freq"))
 
 
+def _by_prefix(items: DataFrame, asked: Asked, queries: DataFrame, frequency_threshold: int,
+               prefixes: PrefixStore | None, top: int | None) -> DataFrame:
+    """Hits by prefix that are frequent enough: from a stored table where there is one, and from the
+    items for what it does not answer. With ``top``, a query's hits may end after that many."""
+    frequent = F.col("_freq") >= frequency_threshold
+    if prefixes is None:
+        return _prefix_hits(items, asked, queries).filter(frequent)
+    hits, rest = prefixes.serve(queries, frequency_threshold, top)
+    if rest.isEmpty():
+        return hits
+    return hits.unionByName(_prefix_hits(items, Asked(rest, asked.few), rest).filter(frequent))
+
+
 def _bigrams(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit("(?s)(?=(.{2}))."), F.lit(1))
 
@@ -291,9 +302,11 @@ def _unanswered(asked: Asked, hits: DataFrame) -> DataFrame:
 def complete(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
              frequency_threshold: int = FREQUENCY_THRESHOLD,
              conditional_probability_threshold: float | None = None,
-             prefix_search: bool | None = None) -> DataFrame:
+             prefix_search: bool | None = None, prefixes: PrefixStore | None = None,
+             top: int | None = None) -> DataFrame:
     """Completions from pairs; submitted items by prefix where no pair is frequent enough, always
-    (``prefix_search=True``) or never (``False``)."""
+    (``prefix_search=True``) or never (``False``). ``prefixes`` is a stored table of ``items``; only
+    the best ``top`` by score are asked of it."""
     asked = Asked.of(queries)
     typed = _pair_hits(pairs, asked, "freq0").filter(F.col("_freq") >= frequency_threshold)
     if conditional_probability_threshold is not None:
@@ -302,10 +315,9 @@ def complete(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
     if prefix_search is False:
         return typed
     if prefix_search:
-        return _either(typed, _prefix_hits(items, asked, asked.queries)
-                       .filter(F.col("_freq") >= frequency_threshold))
-    by_prefix = _prefix_hits(items, asked, _unanswered(asked, typed))
-    return typed.unionByName(by_prefix.filter(F.col("_freq") >= frequency_threshold))
+        return _either(typed, _by_prefix(items, asked, asked.queries, frequency_threshold, prefixes, top))
+    return typed.unionByName(_by_prefix(items, asked, _unanswered(asked, typed), frequency_threshold,
+                                        prefixes, top))
 
 
 def correct(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked,
@@ -348,7 +360,8 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked
                   frequency_threshold: int = FREQUENCY_THRESHOLD,
                   conditional_probability_threshold: float | None = None,
                   prefix_search: bool | None = None,
-                  similar_search: bool | None = None, keys: DataFrame | None = None) -> DataFrame:
+                  similar_search: bool | None = None, keys: DataFrame | None = None,
+                  prefixes: PrefixStore | None = None) -> DataFrame:
     """Suggestions for every distinct ``query``: query, type, ``_key``, ``_score`` (frequency plus
     the item's boost); with ``top``, the best of each query and type and their ``rank``."""
     unknown = [t for t in types if t not in TYPES]
@@ -360,7 +373,7 @@ def suggest_batch(items: DataFrame, pairs: DataFrame, queries: DataFrame | Asked
         queries = Asked(asked, fits_broadcast(asked))
     shared = (items, pairs, queries, frequency_threshold, conditional_probability_threshold)
     made = {
-        "complete": lambda: complete(*shared, prefix_search),
+        "complete": lambda: complete(*shared, prefix_search, prefixes, top),
         "correct": lambda: correct(*shared, similar_search, keys),
         "suggest": lambda: related(*shared),
     }

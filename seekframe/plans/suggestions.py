@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from seekframe.operators import paging as pg
 from seekframe.operators import suggest as sg
+from seekframe.operators.prefixes import PrefixStore
 from seekframe.plans.registry import PAIR_DAY, query
 from seekframe.plans.sql import (
     CATALOGUE,
@@ -13,7 +14,7 @@ from seekframe.plans.sql import (
     RELATED,
     log_with,
 )
-from seekframe.session import materialise
+from seekframe.session import materialise, scratch_path
 
 C = F.col
 _PAIRS = log_with(FOLLOWED, EVENT_PAIRS)
@@ -262,3 +263,47 @@ def suggest_batch_names(t):
         items.select(F.replace("_key", F.lit("e"), F.lit("a")))).union(
         items.select(F.expr("substring(_key, 2)")))
     return sg.suggest_batch(items, pairs, asked, top=5, frequency_threshold=10)
+
+
+# --- stored completions ---------------------------------------------------------------------------
+
+_SPELLED = """spelled AS (
+    SELECT DISTINCT substring(name, 1, n) AS query, _key, freq2, freq2 + boost AS _by
+    FROM (SELECT _key, freq2, boost,
+                 unnest(list_distinct(list_append(string_split(_key, ' '), _key))) AS name
+          FROM catalogue), range(1, 33) r(n) WHERE n <= length(name))"""
+
+
+def _merged_prefixes(t, best):
+    """Built from the items of one half of the keys, then the other half is merged in."""
+    items, _ = t.catalogue
+    store = PrefixStore(t.spark, scratch_path(t.spark, "prefixes"), best, buckets=8)
+    half = F.pmod(F.xxhash64("_key"), F.lit(2)) == 0
+    store.build(items.filter(half))
+    store.merge(items.filter(~half))
+    return store
+
+
+@query(f"""WITH {CATALOGUE}, {_SPELLED}
+           SELECT query, _key, freq2, _by, place FROM (
+               SELECT *, row_number() OVER (PARTITION BY query ORDER BY _by DESC, _key) AS place
+               FROM spelled) WHERE place <= 21""")
+def prefix_table(t):
+    return _merged_prefixes(t, 20).rows()
+
+
+@query(f"""WITH {CATALOGUE}, {_SPELLED}, hits AS (
+               SELECT query, 'complete' AS type, _key, freq2 + 1 + boost AS _score
+               FROM catalogue JOIN (SELECT DISTINCT query FROM spelled) ON starts_with(_key, query)
+                   OR starts_with(string_split(_key, ' ')[1], query)
+                   OR starts_with(string_split(_key, ' ')[2], query)
+               WHERE freq2 + 1 >= 30)
+           {_BEST} 10""")
+def prefix_serve(t):
+    """Every prefix of every item completed: from the stored table, and from the items where its
+    lists of 40 hold fewer than ten that are frequent enough."""
+    items, pairs = t.catalogue
+    store = _merged_prefixes(t, 40)
+    asked = store.rows().select("query").distinct()
+    return sg.suggest_batch(items, pairs, asked, ("complete",), top=10, frequency_threshold=30,
+                            prefixes=store)

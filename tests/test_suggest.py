@@ -5,6 +5,7 @@ from conftest import EVENT_SCHEMA, EVENTS, event_rows
 from pyspark.sql import functions as F
 
 from seekframe.operators import suggest as sg
+from seekframe.operators.prefixes import PrefixStore, merge_prefixes, prefix_table
 from seekframe.session import materialise, scratch_path
 from seekframe.streaming.item_stats import read_item_stats, start_item_stats
 from seekframe.streaming.pairs import PairLearner
@@ -286,3 +287,67 @@ def test_stream_item_stats(spark):
     start_item_stats(stream(), updates, checkpoint).awaitTermination()
     got = {tuple(r) for r in read_item_stats(spark, updates).collect()}
     assert got == want() and len(got) == 9
+
+
+def named_items(spark, seed, n):
+    rng = random.Random(seed)
+    rows = [("".join(rng.choice("ab c") for _ in range(rng.randint(1, 7))), rng.randint(0, 9),
+             rng.choice([None, 0, 5]), rng.choice([None, [], ["ba", "", "ab c"]])) for _ in range(n)]
+    rows = list({r[0]: r for r in rows}.values())
+    return rows, spark.createDataFrame(
+        rows, "_key string, freq2 long, boost int, kana array<string>").withColumn("freq", C("freq2") + 3)
+
+
+def best_prefixes(rows, best, longest):
+    lists = {}
+    for key, freq2, boost, kana in rows:
+        if freq2 > 0:
+            for start in {n[:i] for n in [key, *(kana or [])] for i in range(1, min(len(n), longest) + 1)}:
+                lists.setdefault(start, []).append((-(freq2 + (boost or 0)), key, freq2))
+    return {(start, key, freq2, place) for start, found in lists.items()
+            for place, (_, key, freq2) in enumerate(sorted(found)[:best + 1], 1)}
+
+
+@pytest.mark.parametrize("best, longest", [(2, 4), (50, 32)])
+def test_prefix_table_follows_items(spark, tmp_path, best, longest):
+    rows, items = named_items(spark, 3, 120)
+    store = PrefixStore(spark, str(tmp_path / "prefixes"), best, longest, buckets=5)
+    got = lambda: {(r["query"], r["_key"], r["freq2"], r["place"]) for r in store.rows().collect()}
+    store.build(items)
+    assert got() == best_prefixes(rows, best, longest)
+    grown = [("abba", 7, 5, ["ab c"]), ("zz", 1, None, None)] + [
+        (k, f + 4, b, n) for k, f, b, n in rows[:9]]
+    changed = spark.createDataFrame(grown, "_key string, freq2 long, boost int, kana array<string>")
+    want = best_prefixes(list({r[0]: r for r in rows + grown}.values()), best, longest)
+    for _ in range(2):  # the same change given again
+        store.merge(changed)
+        assert got() == want
+    store.merge(changed.filter("false"))
+    assert got() == want
+    one = store.rows(spark.createDataFrame([("zz",), (None,)], "query string"))
+    assert [r["_key"] for r in one.collect()] == ["zz"]
+    with pytest.raises(ValueError):
+        merge_prefixes(prefix_table(items, best), changed.withColumn("freq2", F.lit(0) + 1), best)
+
+
+@pytest.mark.parametrize("prefix_search", [None, True])
+@pytest.mark.parametrize("top", [None, 3])
+def test_stored_prefixes_serve_alike(spark, tmp_path, prefix_search, top):
+    _, items = named_items(spark, 4, 150)
+    pairs = spark.createDataFrame([("ab", "c", 12, 0, 0), ("a", "zz", 4, 0, 0)],
+                                  "pre string, post string, freq0 long, freq1 long, freq2 long")
+    asked = spark.createDataFrame([(q,) for q in ["a", "ab", "b", "c", "ab c", "abcab", "x", ""]],
+                                  "query string")
+    store = PrefixStore(spark, str(tmp_path / "prefixes"), 4, 3, buckets=3)
+    store.build(items)
+    for threshold in (1, 8):
+        run = lambda **stored: sorted(map(tuple, sg.suggest_batch(
+            items, pairs, asked, ("complete",), top, threshold, prefix_search=prefix_search,
+            **stored).collect()))
+        assert run(prefixes=store) == run()
+
+
+def test_empty_prefix_table(spark, tmp_path):
+    _, items = named_items(spark, 4, 20)
+    assert prefix_table(items.filter("false")).count() == 0
+    assert merge_prefixes(prefix_table(items.filter("false")), items, 9).count() > 0
