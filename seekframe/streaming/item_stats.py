@@ -33,3 +33,16 @@ def read_item_stats(spark: SparkSession, updates: str) -> DataFrame:
     latest = rows.groupBy("_key").agg(
         F.max_by(F.struct("freq", "freq2", "last"), "batch").alias("_row"))
     return latest.select("_key", "_row.*")
+
+
+def current_item_stats(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """The counters of every item as the state store of :func:`start_item_stats` holds them: one row
+    an item, however many batches there were. ``batch`` asks for the state after an earlier batch
+    that the checkpoint still keeps. The stream has to have finished one batch."""
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    # State has the aggregates in their order, two of them under one name.
+    counters = F.col("value").cast("struct<freq: bigint, freq2: bigint, last: timestamp_ntz>")
+    return reader.load(checkpoint).select(F.col("key.item").alias("_key"), counters.alias("_row")) \
+        .select("_key", "_row.*")

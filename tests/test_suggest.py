@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seekframe.operators import suggest as sg
 from seekframe.operators.prefixes import PrefixStore, merge_prefixes, prefix_table
 from seekframe.session import materialise, scratch_path
-from seekframe.streaming.item_stats import read_item_stats, start_item_stats
+from seekframe.streaming.item_stats import current_item_stats, read_item_stats, start_item_stats
 from seekframe.streaming.pairs import PairLearner
 
 C = F.col
@@ -351,3 +351,21 @@ def test_empty_prefix_table(spark, tmp_path):
     _, items = named_items(spark, 4, 20)
     assert prefix_table(items.filter("false")).count() == 0
     assert merge_prefixes(prefix_table(items.filter("false")), items, 9).count() > 0
+
+
+def test_item_counters_from_the_state(spark):
+    """One row an item after every batch and after a restart, with null items and no update files."""
+    rows = random_log(300) + [(998, "y", None, None, "")]
+    stream, path = stream_of(spark, rows, 3)
+    updates, checkpoint = scratch_path(spark, "updates"), scratch_path(spark, "checkpoint")
+    want = lambda: sorted((tuple(r) for r in sg.item_stats(spark.read.parquet(path)).collect()), key=str)
+    got = lambda *at: sorted((tuple(r) for r in current_item_stats(spark, checkpoint, *at).collect()), key=str)
+    start_item_stats(stream(), updates, checkpoint).awaitTermination()
+    before = want()
+    assert got() == before
+    spark.createDataFrame([(999, "x", rows[0][2], "new", "submit")], EVENT_SCHEMA) \
+        .write.mode("append").parquet(path)
+    last = spark.read.parquet(updates).agg(F.max("batch")).head()[0]
+    start_item_stats(stream(), updates, checkpoint).awaitTermination()
+    assert got() == want() != before
+    assert got(last) == before
