@@ -42,10 +42,11 @@ def _grams(token: Column) -> Column:
 
 def _add(tokens: DataFrame, path: str, buckets: int) -> None:
     tokens = materialise(tokens, "tokens")  # the ranges are sampled from it
-    tokens.repartitionByRange("token").sortWithinPartitions("token") \
-        .write.mode("append").parquet(f"{path}/tokens")
+    # A token counts as known when its grams are there; given again, grams may be there twice.
     grams = tokens.select(F.col("_hash").alias("held"), F.explode(_grams(F.col("token"))).alias("token"))
     write_index(grams, "held", f"{path}/grams", buckets)
+    tokens.repartitionByRange("token").sortWithinPartitions("token") \
+        .write.mode("append").parquet(f"{path}/tokens")
 
 
 def _distinct(postings: DataFrame) -> DataFrame:

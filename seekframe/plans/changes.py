@@ -238,6 +238,26 @@ def index_in_step(t):
         .select("_key", "_score")
 
 
+@query(f"""WITH {_CHANGED_PARTS},
+                tiers AS (SELECT _key, CASE WHEN list_contains(ts, 'pro') THEN 1
+                              WHEN len(list_filter(ts, lambda x: starts_with(x, 'pro'))) > 0 THEN 2
+                              ELSE 3 END AS _tier
+                          FROM (SELECT _key, {sql.token_list('name')} AS ts FROM changed
+                                WHERE contains(lower(name), 'pro')))
+           SELECT _key, _tier FROM tiers""")
+def escalation_in_step(t):
+    """Escalation from an index and its lexicon that followed a load and a delete."""
+    store, name = _stored(t, "parts", PART, _parts(t), None)
+    index = store.index(name, ["name"], buckets=8).keep_lexicon()
+    longer = t.part.filter("p_size > 40").select(
+        C("p_partkey").cast("string").alias("_key"), F.concat_ws(" ", "p_type", "p_name").alias("name"))
+    store.load(name, longer)
+    store.delete(name, where=C("size") < 5)
+    rows = store.scan(name).select("_id", "_key", "name")
+    return rows.select("_id", "_key").join(index.escalate(rows, "Pro", 1_000_000), "_id") \
+        .select("_key", "_tier")
+
+
 TYPED = sc.declare({"name": sc.Field("Text"), "kind": sc.Field("Text"), "size": sc.Field("Int32")})
 _TYPED_TOKENS = " UNION ALL ".join(
     f"""SELECT p_partkey, {weight} AS weight FROM ({sql.postings('part', 'p_partkey', sql.token_list(column))})

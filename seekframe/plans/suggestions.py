@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from seekframe.functions.tokens import words
 from seekframe.operators import paging as pg
+from seekframe.operators import prefixes
 from seekframe.operators import suggest as sg
 from seekframe.operators.prefixes import PrefixStore
 from seekframe.plans.registry import PAIR_DAY, query
@@ -292,6 +294,22 @@ def prefix_table(t):
     return _merged_prefixes(t, 20).rows()
 
 
+@query("""WITH counted AS (
+               SELECT word AS _key, count(*) AS freq2 FROM (
+                   SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+|\\p{N}+')) AS word FROM documents)
+               GROUP BY word),
+           spelled AS (SELECT substring(_key, 1, n) AS query, _key, freq2
+                       FROM counted, range(1, 33) r(n) WHERE n <= length(_key))
+           SELECT query, _key, freq2, place FROM (
+               SELECT *, row_number() OVER (PARTITION BY query ORDER BY freq2 DESC, _key) AS place
+               FROM spelled) WHERE place <= 11""")
+def prefix_table_words(t):
+    """The ten best completions, and one more, of every prefix of every word of the documents."""
+    found = t.texts.select(F.explode(words(C("text"))).alias("_key"))
+    return prefixes.prefix_table(found.groupBy("_key").agg(F.count("*").alias("freq2")), 10) \
+        .drop("_by")
+
+
 @query(f"""WITH {CATALOGUE}, {_SPELLED}, hits AS (
                SELECT query, 'complete' AS type, _key, freq2 + 1 + boost AS _score
                FROM catalogue JOIN (SELECT DISTINCT query FROM spelled) ON starts_with(_key, query)

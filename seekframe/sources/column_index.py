@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekframe.functions.predicates import any_of
 from seekframe.functions.tokens import Tokenizer
 from seekframe.operators import index as ix
+from seekframe.operators import lexicon as lx
 from seekframe.operators.skew import join_lookup
 from seekframe.schema import ID
 from seekframe.session import materialise
@@ -88,12 +90,15 @@ class ColumnIndex:
         void = materialise(changed.select(self.id_col).unionAll(gone).distinct(), "void")
         if void.isEmpty():
             return
-        first = self.is_new()
+        first, lexicon = self.is_new(), self.has_lexicon()
         generation = self._generation() + 1
         self.spark.createDataFrame([(generation,)], f"{GENERATION} long").coalesce(1) \
             .write.mode("append").parquet(f"{self.path}/generations")
         postings = ix.build_postings(changed, self.id_col, self.columns, self.tokenizer,
                                      sections=True, weights=True)
+        if lexicon:  # before the postings, like the index before its table
+            postings = materialise(postings, "postings")
+            lx.extend_lexicon(postings, f"{self.path}/lexicon", self.buckets)
         self._write(postings.withColumn(GENERATION, F.lit(generation))
                     .withColumn(BUCKET, self._bucket(F.col("token"))), "append")
         if not first:
@@ -108,12 +113,13 @@ class ColumnIndex:
 
     def postings(self, terms: list[str] | None = None) -> DataFrame:
         """Valid postings, or only those of ``terms``: other buckets are not opened."""
+        return self._held(None if terms is None else ix.folded(terms))
+
+    def _held(self, stored: list[str] | None) -> DataFrame:
         found = self._stored("postings", self.schema)
-        if terms is not None:
-            terms = ix.folded(terms)
-            held = [F.col(BUCKET) == self._bucket(F.lit(t)) for t in terms]
-            found = found.filter(reduce(Column.__or__, held, F.lit(False))
-                                 & F.col("token").isin(terms))
+        if stored is not None:
+            held = [F.col(BUCKET) == self._bucket(F.lit(t)) for t in stored]
+            found = found.filter(any_of(held) & F.col("token").isin(stored))
         found = self._valid(found).drop(GENERATION, BUCKET)
         return found if len(self.columns) > 1 else found.drop("section")
 
@@ -144,6 +150,24 @@ class ColumnIndex:
         return ix.near(self.postings([token for run in runs for token in run]), self.id_col, runs,
                        distance)
 
+    def has_lexicon(self) -> bool:
+        return bool(self._stored("lexicon/tokens", T.StructType([self.schema["token"]])).inputFiles())
+
+    def keep_lexicon(self) -> ColumnIndex:
+        """Store a lexicon of the tokens, unless there is one; every later change adds to it."""
+        if not self.has_lexicon():
+            lx.write_lexicon(self._stored("postings", self.schema), f"{self.path}/lexicon", self.buckets)
+        return self
+
+    def escalate(self, rows: DataFrame, term: str, threshold: int) -> DataFrame:
+        """``id, _tier``: ``term`` as a whole token, as the start of one or anywhere, as strictly as
+        gives more than ``threshold`` records. Needs :meth:`keep_lexicon` and an index of one column.
+        ``rows`` are the table's, read only for a term that spans tokens."""
+        if len(self.columns) != 1:
+            raise ValueError("escalation works on an index of one column")
+        return lx.match_escalation(self.spark, f"{self.path}/lexicon", self._held, rows, self.id_col,
+                                   *self.columns, term, threshold, self.tokenizer)
+
     def compact(self, buckets: list[int] | None = None) -> None:
         """Overwrite ``buckets``, or all, with their valid postings in one sorted run each. Markers
         go when all are done. A bucket without valid postings keeps its voided ones until then."""

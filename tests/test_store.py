@@ -248,3 +248,20 @@ def test_near_from_postings_equals_near_on_texts(spark):
         terms = [ix.phrase_tokens(df, t, "TokenBigram") for t in text.split()]
         want = {(r["_id"], r["_span"]) for r in search.near(df, "body", text, 6).collect()}
         assert {tuple(r) for r in ix.near(postings, "_id", terms, 6).collect()} == want and want
+
+
+def test_escalation_follows_the_table(spark, filled):
+    store, name = filled
+    index = store.index(name, ["body"])
+    assert not index.has_lexicon()
+    store.load(name, notes(spark, [("q1", "t", "a cat", 1), ("q2", "t", "cats", 1), ("q3", None, None, 1)]))
+    index.keep_lexicon().keep_lexicon()
+    store.load(name, notes(spark, [("q2", "t", "a dog", 1), ("q4", "t", "concatenate", 1),
+                                   ("q5", "t", "catalogue of a\tcat", 1)]))
+    store.delete(name, key="q1")
+    for term, threshold in [("Cat", 0), ("cat", 1), ("cat", 5), ("a cat", 0), ("cats", 0), ("og", 3)]:
+        want = search.match_escalation(store.scan(name), "body", term, threshold)
+        got = index.escalate(store.scan(name), term, threshold)
+        assert sorted(map(tuple, got.collect())) == sorted((r["_id"], r["_tier"]) for r in want.collect())
+    with pytest.raises(ValueError):
+        store.index(name, ["title", "body"]).escalate(store.scan(name), "cat", 0)
