@@ -1,9 +1,9 @@
 """A lexicon: the distinct tokens of an index, found by how they start and by what they hold.
 
 Two tables. Tokens lie sorted, so those with a common start are one range that Parquet prunes to.
-Grams are all runs of one to three characters inside a token with the token's hash, in one folder per
-gram bucket; a token holds a text if it is under each of its grams and then holds it whole. Both
-grow with the number of different tokens, not with the texts.
+Grams are all runs of three characters inside a token with the token's hash, in one folder per gram
+bucket; a token holds a text if it is under each of its grams and then holds it whole. A shorter text,
+which a large share of all tokens hold, is looked for in the tokens themselves. Both grow with the number of different tokens, not with the texts.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from seekframe.operators.index import BUCKETS, phrase_tokens, read_tokens, write
 from seekframe.operators.skew import join_lookup
 from seekframe.session import materialise
 
-GRAM = 3  # characters of the longest gram
+GRAM = 3  # characters of a gram
 LISTED = 500  # tokens in one pushed-down filter
 
 Postings = Callable[[list[str] | None], DataFrame]
@@ -35,9 +35,7 @@ def held_tokens(df: DataFrame, id_col: str, column: str,
 
 
 def _grams(token: Column) -> Column:
-    parts = [F.regexp_extract_all(token, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
-             for n in range(1, GRAM + 1)]
-    return F.array_distinct(F.concat(*parts))
+    return F.array_distinct(F.regexp_extract_all(token, F.lit(f"(?s)(?=(.{{{GRAM}}}))."), F.lit(1)))
 
 
 def _add(tokens: DataFrame, path: str, buckets: int) -> None:
@@ -73,12 +71,13 @@ def tokens_starting(spark: SparkSession, path: str, text: str) -> DataFrame:
 
 def tokens_holding(spark: SparkSession, path: str, text: str) -> DataFrame:
     """``token``: those that hold ``text`` anywhere. Only the buckets of its grams are opened, and
-    the tokens under all of them are compared whole."""
-    size = min(GRAM, len(text))
-    grams = list(dict.fromkeys(text[i:i + size] for i in range(len(text) - size + 1)))
+    the tokens under all of them are compared whole; for a text shorter than a gram, all tokens."""
+    known = spark.read.parquet(f"{path}/tokens").filter(F.contains(F.col("token"), F.lit(text)))
+    if len(text) < GRAM:
+        return known.select("token")
+    grams = list(dict.fromkeys(text[i:i + GRAM] for i in range(len(text) - GRAM + 1)))
     under = read_tokens(spark, f"{path}/grams", grams).groupBy("held").agg(F.count("*").alias("_n"))
     hashes = under.filter(F.col("_n") >= len(grams)).select(F.col("held").alias("_hash"))
-    known = spark.read.parquet(f"{path}/tokens").filter(F.contains(F.col("token"), F.lit(text)))
     return join_lookup(known, hashes, "_hash", "left_semi", salts=1).select("token")
 
 
