@@ -12,7 +12,7 @@ import os
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,36 +21,83 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from seekframe.llm.pieces import PIECE, Generations, encoded_apart, valid
+from seekframe.llm.pieces import KEPT, KEPT_CHARS, LETTERS, PIECE, parts, valid
 from seekframe.operators.skew import join_lookup
 from seekframe.session import materialise, spread
 
 CAPACITY = 1024
 
 
+class Known(dict):
+    """Ids of pieces as little-endian bytes, for the length of a task; a piece not met before is
+    encoded when it is looked up.
+
+    Two generations as in ``Generations``: ``turn`` makes a full one the old one, and pieces met
+    again move up from there. Pieces of over ``KEPT_CHARS`` are not held.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        if len(piece) <= KEPT_CHARS:
+            self[piece] = found
+        return found
+
+    def turn(self) -> None:
+        if len(self) > KEPT:
+            self.old = dict(self)
+            self.clear()
+
+
 class Ids:
-    """Ids of whole texts by the library. Texts are cut where its pattern always cuts; the distinct
-    new pieces of a group of texts go to the library in one call."""
+    """Ids of whole texts by the library. Texts are cut where its pattern always cuts. A piece that
+    is one run of letters goes to the library's model at once if its pattern leaves it whole."""
 
     def __init__(self, path: str):
         # Tasks are the unit of parallel work; the library's own threads would crowd the executor.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.direct = (self.tokenizer.normalizer is None and isinstance(cut, ByteLevel)
+                       and cut.use_regex and not cut.add_prefix_space)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def new_pieces(self) -> Generations:
+        whole_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # The byte alphabet of the letters' UTF-8, as the library writes it.
+        self.signs = {ord(c): whole_bytes.pre_tokenize_str(c)[0][0]
+                      for c in map(chr, range(0x250)) if c == " " or LETTERS.fullmatch(c)}
+
+    def library(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return array("I", found[0].ids).tobytes()
+
+    def piece(self, text: str) -> bytes:
+        if not self.direct or len(text) > KEPT_CHARS or not LETTERS.fullmatch(text):
+            return self.library(text)
+        found = self.model.tokenize(text.translate(self.signs))
+        return array("I", [token.id for token in found]).tobytes()
+
+    def new_pieces(self) -> Known:
         """A store of encoded pieces, for the length of a task."""
-        return Generations(self.library)
+        return Known(self.piece)
 
-    def encode_all(self, texts: list[str | None], known: Generations) -> Iterator[np.ndarray]:
+    def encode_all(self, texts: list[str | None], known: Known) -> Iterator[np.ndarray]:
         """Ids of each text; one that holds the string of a special token is encoded whole."""
-        whole = lambda t: self.library([t])[0] if any(s in t for s in self.special) else None
-        for ids in encoded_apart([valid(t) for t in texts], PIECE, known, whole):
+        for text in map(valid, texts):
+            if any(s in text for s in self.special):
+                ids = self.library(text)
+            else:
+                ids = []
+                for pieces in parts(PIECE, text):
+                    known.turn()
+                    ids.append(b"".join(map(known.__getitem__, pieces)))
+                ids = b"".join(ids)
             yield np.frombuffer(ids, dtype="<u4")
 
     def __call__(self, text: str | None) -> np.ndarray:

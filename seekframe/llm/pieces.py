@@ -19,6 +19,8 @@ _SIGN = r".,!?;:\"()|#$%&*"
 PIECE = re.compile(
     f" ?[{_LETTER}]+(?=[{_SIGN}{SPACE}]|\\Z)| ?[{_SIGN}]+(?=[{_LETTER}{SPACE}]|\\Z)"
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Stands alone under the vocabularies' patterns: one run of letters with its blank.
+LETTERS = re.compile(f" ?[{_LETTER}]+")
 KEPT = 200_000  # pieces of a generation
 KEPT_CHARS = 48
 PART_CHARS = 1 << 20  # characters cut into pieces at once

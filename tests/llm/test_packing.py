@@ -26,6 +26,32 @@ def test_ids_of_any_text(text):
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+LATIN = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c not in "ªµº")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.builds(str.__add__, st.sampled_from(["", " "]), st.text(LATIN, min_size=1, max_size=60)),
+                max_size=30, unique=True))
+def test_ids_of_letters_and_of_pieces_met_before(words):
+    ids, kept = packing._ids(PATH), packing.KEPT
+    texts = ["".join(words), "|".join(words), ".".join(reversed(words))]
+    packing.KEPT = 3  # pieces are forgotten and met again
+    try:
+        got = [i.tolist() for i in ids.encode_all(texts, ids.new_pieces())]
+    finally:
+        packing.KEPT = kept
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_runs_of_letters_go_to_the_model_without_the_whole_tokenizer(monkeypatch):
+    ids, asked = packing.Ids(PATH), []
+    assert ids.direct
+    monkeypatch.setattr(ids, "library", lambda new: asked.append(new) or packing.Ids.library(ids, new))
+    text = "The café, naïve words. " * 3 + "a1 " + "x" * 60
+    assert next(ids.encode_all([text], ids.new_pieces())).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted([",", ".", " a1", " " + "x" * 60])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 12), st.integers(1, 4), max_size=4), st.integers(0, 20))
 def test_fullest_is_the_best_combination(counts, room):
