@@ -61,7 +61,8 @@ class TableStore:
         for name, schema in schemas.items():
             if self.spark.catalog.tableExists(name):
                 continue
-            if self._has_files(name):
+            stored = self._columns_of_files(name)
+            if BUCKET in stored:
                 # Schema, metadata and buckets come from the files.
                 self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{self.path(name)}'")
             else:
@@ -70,18 +71,22 @@ class TableStore:
                 fields = [T.StructField(f.name, f.dataType, f.nullable, f.metadata | {"buckets": buckets}
                                         if f.name == lead else f.metadata) for f in schema.fields]
                 empty = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
+                # Without files there may be folders of emptied buckets left. Files of any other kind
+                # are not overwritten.
                 self.spark.createDataFrame([], empty).write.partitionBy(BUCKET) \
+                    .mode("error" if stored else "overwrite").option("partitionOverwriteMode", "static") \
                     .option("path", self.path(name)).saveAsTable(name)
             self.spark.catalog.recoverPartitions(name)
         return created
 
-    def _has_files(self, name: str) -> bool:
+    def _columns_of_files(self, name: str) -> list[str]:
+        """Columns of the Parquet files in the table's folder; none where there is no file."""
         try:
-            return BUCKET in self.spark.read.parquet(self.path(name)).columns
+            return self.spark.read.parquet(self.path(name)).columns
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            return False
+            return []
 
     def _placed(self, name: str) -> DataFrame:
         return self.spark.table(name)

@@ -5,6 +5,7 @@ import uuid
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from seekframe import schema as sc
@@ -95,6 +96,24 @@ def test_a_bucket_may_become_empty_and_fill_again(spark, tmp_path):
     assert rows_of(again, name) == {"a": (1, "z", "", 5)}
 
 
+def test_a_truncated_table_is_created_anew_and_other_files_stay(spark, tmp_path):
+    store, name = TableStore(spark, str(tmp_path)), f"few_{uuid.uuid4().hex}"
+    store.create_all({name: NOTES}, buckets=4)
+    store.load(name, notes(spark, [("a", "x", "", 1)]))
+    store.truncate(name)
+    spark.sql(f"DROP TABLE {name}")
+    again = TableStore(spark, str(tmp_path))
+    assert again.create_all({name: NOTES}, buckets=2) == [name]
+    again.load(name, notes(spark, [("b", "z", "", 5)]))
+    assert rows_of(again, name) == {"b": (1, "z", "", 5)}
+
+    other = f"other_{uuid.uuid4().hex}"
+    spark.range(3).write.parquet(again.path(other))
+    with pytest.raises(AnalysisException):
+        again.create_all({other: NOTES})
+    assert spark.read.parquet(again.path(other)).count() == 3
+
+
 def test_staged_batches_of_different_columns_are_one_load(spark, filled):
     store, name = filled
     staged = store.staged(name)
