@@ -8,35 +8,77 @@ never opened.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekframe.operators.index import BUCKETS, folded, match_terms, read_index, write_index
+from seekframe.operators.index import (
+    BUCKETS,
+    PACK_ROWS,
+    folded,
+    gathered,
+    match_terms,
+    packed,
+    read_index,
+    unpacked,
+    write_index,
+)
 from seekframe.operators.skew import join_lookup
 from seekframe.session import materialise
 
 RANGE_ROWS = 4096  # ids of a range
+PART_POSTINGS = 1 << 19  # postings whose impacts one task makes together
+PART_IDS = 1 << 14  # of neighbouring ids, so that a token of all documents is dealt too
 INTERVALS = 500  # ranges of ids in one pushed-down filter
 
 
-def build_impacts(index: DataFrame, id_col: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def build_impacts(index: DataFrame, id_col: str, range_rows: int = RANGE_ROWS,
+                  buckets: int = BUCKETS) -> DataFrame:
     """``token, start, width, most, docs``: for each token and range of whole-number ids the largest
-    score of a document and the number of documents. Scores are those of ``match_terms``."""
-    amount = F.sum("weight") if "weight" in index.columns else F.count("*")
+    score of a document and the number of documents. Scores are those of ``match_terms``.
+
+    Occurrences of a document combine in each task, are shuffled in packs of tokens and ranges that
+    belong together, and combine there before documents meet in their range. Packs are large where
+    postings come in the order they are stored in, in ``buckets``.
+    """
+    amount = F.col("weight") if "weight" in index.columns else F.lit(1)
+    total = index.agg(F.sum(amount).alias("most")).schema["most"].dataType
     whole = F.col(id_col).cast("long")
     start = whole - F.pmod(whole, F.lit(range_rows))
-    # Occurrences of a document combine before documents meet in their range.
-    return index.groupBy("token", id_col).agg(amount.alias("_amount")) \
-        .groupBy("token", start.alias("start")) \
-        .agg(F.max("_amount").alias("most"), F.count("*").alias("docs")) \
-        .withColumn("width", F.lit(range_rows))
+    parts = index.count() // PART_POSTINGS + 1
+    near = F.call_function("div", start, F.lit(PART_IDS // range_rows * range_rows or range_rows))
+    part = F.pmod(F.xxhash64(F.pmod(F.xxhash64("token"), F.lit(buckets)), near), F.lit(parts)).cast("int")
+    rows = index.select("token", F.col(id_col).alias("id"), start.alias("start"),
+                        amount.cast(total).alias("n"), part.alias("_part"))
+    by_id = ["token", "id", "start"]
+
+    def summed(table: pa.Table, keys: list[str]) -> pa.Table:
+        return table.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in gathered(batches, PACK_ROWS):
+            yield packed(summed(table, [*by_id, "_part"]), "_part")
+            pa.default_memory_pool().release_unused()
+
+    def of_part(table: pa.Table) -> pa.Table:
+        found = summed(pa.concat_tables(list(unpacked(table.column("_rows")))), by_id)
+        pa.default_memory_pool().release_unused()
+        found = found.group_by(["token", "start"], use_threads=False).aggregate([("n", "max"), ([], "count_all")])
+        return found.rename_columns({"n_max": "most", "count_all": "docs"}).select(["token", "start", "most", "docs"])
+
+    fields = index.select("token", start.alias("start"), F.lit(None).cast(total).alias("most"),
+                          F.lit(None).cast("long").alias("docs")).schema
+    return rows.mapInArrow(pack, "_part int, _rows binary").groupBy("_part") \
+        .applyInArrow(of_part, fields).withColumn("width", F.lit(range_rows))
 
 
 def write_impacts(impacts: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Store impacts like postings: a lookup opens the buckets of its terms."""
-    write_index(impacts, "start", path, buckets)
+    """Store impacts like postings: a lookup opens the buckets of its terms. They are written first, so
+    that a task runs Python for one of both steps only."""
+    write_index(materialise(impacts, "impacts"), "start", path, buckets)
 
 
 def read_impacts(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:

@@ -5,8 +5,12 @@ Postings stay flat, so a frequent token is many rows, never one huge array.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,24 +47,81 @@ def term_stats(index: DataFrame, id_col: str) -> DataFrame:
 
 
 BUCKETS = 256
+PACK_ROWS = 1 << 18  # rows that a task packs together
 
 
 def _bucket(token: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(token), buckets).cast("int")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The batches of a task in tables of about ``most`` rows."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= most:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def packed(table: pa.Table, part: str) -> pa.RecordBatch:
+    """``part, _rows``: the rows of each part (its column is an int from 0 on) as one compressed value,
+    sorted by ``token``: a Parquet file in memory, so a token is there once and numbers lie beside their
+    like. That takes a fraction of the bytes that as many rows of a shuffle do."""
+    parts = table.column(part).to_numpy().astype(np.int64)
+    token = table.column("token").combine_chunks().dictionary_encode()
+    code = token.indices.fill_null(len(token.dictionary)).to_numpy().astype(np.int64)
+    by = np.argsort(parts << 32 | code, kind="stable")
+    ends = np.flatnonzero(np.diff(parts[by], append=-1)) + 1
+    sorted_rows = table.drop_columns(part).take(pa.array(by)).combine_chunks()
+    whole = [f.name for f in sorted_rows.schema if pa.types.is_integer(f.type)]
+    encoding = {"use_dictionary": [f.name for f in sorted_rows.schema if f.name not in whole],
+                "column_encoding": dict.fromkeys(whole, "BYTE_STREAM_SPLIT")}
+    values = []
+    for start, end in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+        sink = pa.BufferOutputStream()
+        pq.write_table(sorted_rows.slice(start, end - start), sink, compression="zstd", write_statistics=False,
+                       store_schema=False, **encoding)
+        values.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(parts[by][ends - 1], pa.int32()), pa.array(values, pa.binary())],
+                                      [part, "_rows"])
+
+
+def unpacked(values: pa.Array) -> Iterator[pa.Table]:
+    for value in values:
+        yield pq.ParquetFile(pa.BufferReader(value.as_buffer())).read(use_threads=False)
+
+
+def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in gathered(batches, PACK_ROWS):
+        yield packed(table, "_bucket")
+        pa.default_memory_pool().release_unused()
+
+
+def _unpacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bucket, table in zip(batch.column(0), unpacked(batch.column(1)), strict=True):
+            placed = table.append_column("_bucket", pa.repeat(bucket, table.num_rows))
+            yield from placed.to_batches(max_chunksize=PACK_ROWS // 8)
+        pa.default_memory_pool().release_unused()
+
+
 def write_index(index: DataFrame, id_col: str, path: str, buckets: int = BUCKETS) -> None:
     """Store postings in one folder per token bucket, sorted by (token, id).
 
-    A lookup reads the folder of its bucket and there the row groups that hold the token. The
-    rebalance splits a bucket that is too big for one task, so a frequent token covers several
-    files; it needs no sampling pass, which would cut all texts twice. The number of buckets is
-    part of the folder names, so a lookup needs no argument for it, and postings of new rows may be
-    added with another number.
+    A lookup reads the folder of its bucket and there the row groups that hold the token. Rows are
+    shuffled in packs of one bucket each. The rebalance splits a bucket that is too big for one task,
+    so a frequent token covers several files; it needs no sampling pass, which would cut all texts
+    twice. The number of buckets is part of the folder names, so a lookup needs no argument for it,
+    and postings of new rows may be added with another number.
     """
-    placed = index.withColumn("_buckets", F.lit(buckets)) \
-        .withColumn("_bucket", _bucket(F.col("token"), F.lit(buckets)))
-    placed.hint("rebalance", F.col("_bucket")).sortWithinPartitions("_bucket", "token", id_col) \
+    placed = index.withColumn("_bucket", _bucket(F.col("token"), F.lit(buckets)))
+    dealt = placed.mapInArrow(_packing, "_bucket int, _rows binary").hint("rebalance", F.col("_bucket"))
+    flat = dealt.mapInArrow(_unpacking, placed.schema).withColumn("_buckets", F.lit(buckets))
+    flat.sortWithinPartitions("_bucket", "token", id_col) \
         .write.mode("append").partitionBy("_buckets", "_bucket").parquet(path)
 
 

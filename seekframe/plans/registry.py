@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seekframe.operators import suggest
 from seekframe.operators.impacts import build_impacts, write_impacts
-from seekframe.operators.index import build_postings, read_index, write_index
+from seekframe.operators.index import BUCKETS, build_postings, read_index, write_index
 from seekframe.operators.lexicon import held_tokens, write_lexicon
 from seekframe.session import materialise, scratch_path, spread
 
@@ -52,7 +52,10 @@ class Tables:
         built = (self.spark.sparkContext.applicationId, self.folder + "#impacts")
         if built not in _INDEXES:
             path = scratch_path(self.spark, "impacts")
-            write_impacts(build_impacts(read_index(self.spark, self.stored_index), "doc_id", 256), path, 4)
+            index = self.stored_index
+            held = self.spark.read.parquet(index).select("_buckets").head()
+            write_impacts(build_impacts(read_index(self.spark, index), "doc_id", 256,
+                                        held[0] if held else BUCKETS), path, 4)
             _INDEXES[built] = path
         return _INDEXES[built]
 

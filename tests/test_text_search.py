@@ -318,6 +318,31 @@ def test_top_terms_open_few_ranges(spark, monkeypatch, tmp_path, weights, interv
         assert opened.count() == 1 and read < held.count() / 20
 
 
+def test_postings_are_shuffled_in_packs(spark, monkeypatch, tmp_path):
+    """A pack takes few bytes a posting and gives back every row; impacts are those of the postings,
+    also where ids come twice or are null."""
+    draw = random.Random(2)
+    rows = [(i, " ".join(draw.choices(["linux", "arch", "kernel", "x", "ÿ"], k=30))) for i in range(300)]
+    rows += [(7, "linux arch"), (None, "linux linux"), (None, "x"), (400, None)]
+    df = spark.createDataFrame(rows, "_id long, t string")
+    index = ix.build_postings(df, "_id", ["t"]).cache()
+    table = index.withColumn("_bucket", F.length("token") % 2).toArrow()
+    packs = ix.packed(table, "_bucket")
+    back = [r for part in ix.unpacked(packs.column(1)) for r in part.to_pylist()]
+    key = lambda r: tuple(str(r[c]) for c in index.columns)
+    assert sorted(map(key, back)) == sorted(key(r.asDict()) for r in index.collect())
+    assert len(packs) == 2 and sum(len(p) for p in packs.column(1).to_pylist()) < 3 * len(table)
+    ix.write_index(index, "_id", str(tmp_path), 3)
+    stored = ix.read_index(spark, str(tmp_path))
+    assert sorted(map(key, (r.asDict() for r in stored.collect()))) == sorted(map(key, back))
+    monkeypatch.setattr(impacts, "PART_POSTINGS", 500)
+    per_doc = index.groupBy("token", "_id").agg(F.count("*").alias("n"))
+    start = C("_id") - F.pmod(C("_id"), F.lit(16))
+    want = per_doc.groupBy("token", start.alias("start")).agg(F.max("n").alias("most"), F.count("*").alias("docs"))
+    got = impacts.build_impacts(stored, "_id", 16, 3)
+    assert sorted(map(str, got.select("token", "start", "most", "docs").collect())) == sorted(map(str, want.collect()))
+
+
 @pytest.mark.parametrize("tokenizer, listed, terms", [
     ("TokenBigram", 500, ["Ab", "漢", "字カ漢", "b漢", "a b", " ", "zz"]),
     ("TokenBigram", 0, ["a", "漢字", "a b"]),
